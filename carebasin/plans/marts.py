@@ -19,7 +19,6 @@ from carebasin.schemas import EMERGENCY_CLASS
 Tables = Mapping[str, DataFrame]
 MARTS: dict[str, Callable[[Tables], DataFrame]] = {}
 
-ROWS = F.count(F.lit(1))
 SAMPLE_SIZE = 5
 
 # Tables of the row-count and sample marts.
@@ -78,6 +77,10 @@ def _or_unknown(*names: str) -> Column:
     return F.coalesce(*[F.col(n) for n in names], F.lit("Unknown"))
 
 
+def _rows() -> Column:
+    return F.count(F.lit(1))
+
+
 def _hits(condition: Column) -> Column:
     return F.count_if(condition)
 
@@ -96,7 +99,7 @@ def _by_month(df: DataFrame, day: str, amount: Column, names: tuple[str, str, st
             F.month(day).alias("mo"),
             F.date_format(day, "yyyy-MM").alias("month_label"),
         )
-        .agg(ROWS.alias(count), fx.total(amount).alias(total), fx.mean(amount).alias(mean))
+        .agg(_rows().alias(count), fx.total(amount).alias(total), fx.mean(amount).alias(mean))
         .orderBy("yr", "mo")
     )
 
@@ -110,7 +113,7 @@ def kpi_summary(tables: Tables) -> DataFrame:
     spend = claims.agg(fx.total(F.col("payment_amount"), 0).alias("n"))
 
     def rows(name: str) -> Column:
-        return tables[name].agg(ROWS.alias("n")).scalar()
+        return tables[name].agg(_rows().alias("n")).scalar()
 
     return claims.sparkSession.range(1).select(
         rows("dim_patient_cms").alias("cms_patients"),
@@ -143,7 +146,7 @@ def patient_age_group(tables: Tables) -> DataFrame:
         tables["dim_patient_cms"]
         .groupBy(_or_unknown("age_group").alias("age_group"))
         .agg(
-            ROWS.alias("patient_count"),
+            _rows().alias("patient_count"),
             fx.mean(F.col("risk_score"), 1).alias("avg_risk_score"),
             _hits(F.col("is_chronic")).alias("chronic_count"),
         )
@@ -159,7 +162,7 @@ def patient_gender_race(tables: Tables) -> DataFrame:
             _or_unknown("gender_label").alias("gender_label"),
             _or_unknown("race_label").alias("race_label"),
         )
-        .agg(ROWS.alias("patient_count"))
+        .agg(_rows().alias("patient_count"))
         .orderBy(F.desc("patient_count"), "gender_label", "race_label")
     )
 
@@ -171,7 +174,7 @@ def risk_score_distribution(tables: Tables) -> DataFrame:
         tables["dim_patient_cms"]
         .where(F.col("risk_score").isNotNull())
         .groupBy(fx.risk_tier(F.col("risk_score"), TIER_RANGES).alias("risk_tier"))
-        .agg(ROWS.alias("patient_count"), fx.mean(months, 1).alias("avg_coverage_months"))
+        .agg(_rows().alias("patient_count"), fx.mean(months, 1).alias("avg_coverage_months"))
         .orderBy(F.desc("patient_count"), "risk_tier")
     )
 
@@ -196,7 +199,7 @@ def payment_buckets(tables: Tables) -> DataFrame:
         .where(payment.isNotNull())
         .groupBy(bucket.otherwise(TOP_BUCKET).alias("payment_bucket"))
         .agg(
-            ROWS.alias("claim_count"),
+            _rows().alias("claim_count"),
             fx.total(payment).alias("total_payment"),
             F.min(payment).alias("smallest"),
         )
@@ -247,7 +250,7 @@ def top_drugs(tables: Tables) -> DataFrame:
             _or_unknown("brand_name").alias("brand_name"),
         )
         .agg(
-            ROWS.alias("prescription_count"),
+            _rows().alias("prescription_count"),
             fx.mean(F.col("days_supply"), 1).alias("avg_days_supply"),
             fx.total(F.col("total_cost")).alias("total_cost"),
             fx.mean(F.col("patient_pay_amount")).alias("avg_patient_pay"),
@@ -265,7 +268,7 @@ def encounter_by_class(tables: Tables) -> DataFrame:
         tables["fact_encounters"]
         .groupBy(_or_unknown("encounter_class").alias("encounter_class"))
         .agg(
-            ROWS.alias("visit_count"),
+            _rows().alias("visit_count"),
             fx.mean(cost).alias("avg_cost"),
             fx.total(cost).alias("total_cost"),
             _hits(F.col("encounter_class") == EMERGENCY_CLASS).alias("emergency_count"),
@@ -289,7 +292,7 @@ def top_medications(tables: Tables) -> DataFrame:
         tables["fact_medications"]
         .groupBy(_or_unknown("drug_name").alias("drug_name"))
         .agg(
-            ROWS.alias("prescription_count"),
+            _rows().alias("prescription_count"),
             F.countDistinct("patient_ref").alias("unique_patients"),
             _hits(F.col("is_chronic_med")).alias("chronic_count"),
         )
@@ -304,7 +307,7 @@ def medication_chronic_split(tables: Tables) -> DataFrame:
         tables["fact_medications"]
         .groupBy(chronic.alias("med_type"))
         .agg(
-            ROWS.alias("count"),
+            _rows().alias("count"),
             F.countDistinct("patient_ref").alias("unique_patients"),
             F.countDistinct("drug_name").alias("unique_drugs"),
         )
@@ -323,7 +326,7 @@ def top_observations(tables: Tables) -> DataFrame:
             F.coalesce("unit", F.lit("")).alias("unit"),
         )
         .agg(
-            ROWS.alias("obs_count"),
+            _rows().alias("obs_count"),
             fx.mean(fx.exact(F.col("value"))).alias("avg_value"),
             _hits(F.col("is_abnormal")).alias("abnormal_count"),
             fx.share(F.col("is_abnormal")).alias("abnormal_pct"),
@@ -342,7 +345,7 @@ def abnormal_by_test(tables: Tables) -> DataFrame:
         tables["fact_observations"]
         .groupBy(_or_unknown("loinc_display", "loinc_code").alias("test_name"))
         .agg(
-            ROWS.alias("total"),
+            _rows().alias("total"),
             _hits(F.col("is_abnormal")).alias("abnormal"),
             fx.share(F.col("is_abnormal")).alias("abnormal_pct"),
         )
