@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from carebasin.operators.conform import change_present
 from carebasin.operators.quantile import approximate_quantile, exact_quantile
 
 # Fixed value: the threshold of a frame without amounts.
-NO_THRESHOLD = 999999.0
+NO_THRESHOLD = Decimal("999999.00")
 
 
 def fill_missing_amounts(df: DataFrame, amounts: Sequence[str]) -> DataFrame:

@@ -24,6 +24,11 @@ def _as_is(df: DataFrame) -> DataFrame:
     return df
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """Write the deduplicated rows once; the default of the job."""
+    return stage(df, "claims")
+
+
 def build_patients(raw: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Beneficiary summary to the patient dimension."""
     return (
@@ -136,8 +141,7 @@ def run(
     as_of: Column | None = None, method: str = "exact",
 ) -> None:
     """Read the landing zone, build all claims tables and write them."""
-    settle = partial(stage, label="claims")
-    tables = build_all(partial(read_raw_entity, spark, landing), as_of, method, settle)
+    tables = build_all(partial(read_raw_entity, spark, landing), as_of, method, settled)
     for name, df in tables.items():
         prefix, partition_by = schemas.CLAIMS_LAKE[name]
         write_table(df, f"{lake.rstrip('/')}/{prefix}", partition_by)

@@ -7,7 +7,6 @@ import uuid
 from pyspark.sql import functions as F
 
 from carebasin import schemas
-from carebasin.operators.documents import explode_entries
 from carebasin.operators.profile import row_counts
 from carebasin.plans import claims, clinical
 from carebasin.session import fresh_folder
@@ -17,41 +16,11 @@ from carebasin.streaming import feeds
 from checks import expected, standins
 from checks.registry import check
 from checks.standins import given
-from checks.tables import Lake, _as_of, build, resources
-
-DAY = "year=2024/month=06/day=15"
-
-
-def _land(spark, sf_dir, *entities: str) -> str:
-    """Write raw records as landed CSV files."""
-    landing = fresh_folder(spark, "landing")
-    for entity in entities:
-        frame = standins.raw(spark, sf_dir, entity).select(
-            [c.raw for c in schemas.RAW_ENTITIES[entity]]
-        )
-        frame.write.option("header", True).csv(f"{landing}/{DAY}/{entity}_0001.csv")
-    return landing
-
+from checks.tables import DAY, Lake, _as_of, build, landed_bundles, raw, resources
 
 @check(standins.raw_sql("inpatient_claims"))
 def landed_csv_scan(spark, sf_dir):
-    landing = _land(spark, sf_dir, "inpatient_claims")
-    return readers.read_raw_entity(spark, landing, "inpatient_claims")
-
-
-@check(f"""
-    SELECT bundle_id, resource_type, count(*) AS n FROM (
-      SELECT 'b' || event_id AS bundle_id, kind AS resource_type FROM events,
-        unnest(['Patient', 'Organization', 'Practitioner', 'Encounter', 'Condition', 'Condition',
-          'Observation', 'Observation', 'Observation', 'MedicationRequest', 'MedicationRequest',
-          'Procedure', 'AllergyIntolerance', 'Immunization', 'Immunization']) t(kind)) u
-    GROUP BY 1, 2
-""")
-def bundle_file_scan(spark, sf_dir):
-    landing = fresh_folder(spark, "bundles")
-    standins.bundle_text(standins.bundles(spark, sf_dir)).write.text(f"{landing}/fhir")
-    exploded = explode_entries(readers.read_bundles(spark, landing, one_per_line=True))
-    return exploded.groupBy("bundle_id", "resource_type").agg(F.count(F.lit(1)).alias("n"))
+    return raw(spark, sf_dir, "inpatient_claims")
 
 
 _ORDER_SQL = """
@@ -105,6 +74,11 @@ def stage_listing(spark, sf_dir):
     return files.select(F.regexp_extract("file_path", "year=([^/]*)/", 1).alias("year")).distinct()
 
 
+ENTITIES = (
+    "beneficiary_summary", "providers", "inpatient_claims", "outpatient_claims",
+    "carrier_claims", "prescription_drug_events",
+)
+
 # -- whole jobs ---------------------------------------------------------------------
 
 @check(" UNION ALL ".join(
@@ -113,11 +87,11 @@ def stage_listing(spark, sf_dir):
 ))
 def claims_job(spark, sf_dir):
     """Landed files to five written tables."""
-    landing = _land(
-        spark, sf_dir, "beneficiary_summary", "providers", "inpatient_claims",
-        "outpatient_claims", "carrier_claims", "prescription_drug_events",
-    )
-    lake = fresh_folder(spark, "claims-lake")
+    landing, lake = fresh_folder(spark, "landing"), fresh_folder(spark, "claims-lake")
+    for entity in ENTITIES:
+        names = [c.raw for c in schemas.RAW_ENTITIES[entity]]
+        records = standins.raw(spark, sf_dir, entity).select(names)
+        records.write.option("header", True).csv(f"{landing}/{DAY}/{entity}_0001.csv")
     claims.run(spark, landing, lake, _as_of())
     return row_counts(readers.open_lake(spark, claims=lake))
 
@@ -128,8 +102,7 @@ def claims_job(spark, sf_dir):
 ))
 def clinical_job(spark, sf_dir):
     """Bundle files to nine written tables."""
-    landing, lake = fresh_folder(spark, "bundles"), fresh_folder(spark, "clinical-lake")
-    standins.bundle_text(standins.bundles(spark, sf_dir)).write.text(f"{landing}/fhir")
+    landing, lake = landed_bundles(spark, sf_dir), fresh_folder(spark, "clinical-lake")
     clinical.run(spark, landing, lake, _as_of(), one_per_line=True)
     return row_counts(readers.open_lake(spark, clinical=lake))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,24 +25,51 @@ def _as_of():
     return F.to_date(F.lit(AS_OF))
 
 
+DAY = "year=2024/month=06/day=15"
+
+
+@lru_cache(maxsize=None)
+def landed(spark: SparkSession, sf_dir: str, entity: str) -> str:
+    """A landing zone with the raw records of one entity as CSV, written once."""
+    landing = fresh_folder(spark, "landing")
+    names = [c.raw for c in schemas.RAW_ENTITIES[entity]]
+    records = standins.raw(spark, sf_dir, entity).select(names)
+    records.write.option("header", True).csv(f"{landing}/{DAY}/{entity}_0001.csv")
+    return landing
+
+
+def raw(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """The raw records of one entity, as scanned from the landing zone."""
+    return readers.read_raw_entity(spark, landed(spark, sf_dir, entity), entity)
+
+
 @lru_cache(maxsize=None)
-def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clinical.stage_resources(standins.bundles(spark, sf_dir))
+def landed_bundles(spark: SparkSession, sf_dir: str) -> str:
+    """A landing folder with all bundles, one per line, written once."""
+    landing = fresh_folder(spark, "bundles")
+    standins.bundle_text(standins.bundles(spark, sf_dir)).write.text(f"{landing}/fhir")
+    return landing
 
 
+@lru_cache(maxsize=None)
 def resources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exploded resources, written once per session."""
-    return _staged(spark, sf_dir)
+    """The bundles' resources by type, staged once as in the clinical job."""
+    bundles = readers.read_bundles(spark, landed_bundles(spark, sf_dir), one_per_line=True)
+    return clinical.stage_resources(bundles)
 
 
 CLAIMS_BUILDS = {
     "dim_patient_cms": lambda raw: claims.build_patients(raw("beneficiary_summary"), _as_of()),
     "dim_provider_cms": lambda raw: claims.build_providers(raw("providers")),
     "fact_claims": lambda raw: claims.build_claims(
-        raw("inpatient_claims"), raw("outpatient_claims")
+        raw("inpatient_claims"), raw("outpatient_claims"), settle=claims.settled
+    ),
+    "fact_carrier_claims": lambda raw: claims.build_carrier_claims(
+        raw("carrier_claims"), settle=claims.settled
+    ),
+    "fact_prescriptions": lambda raw: claims.build_prescriptions(
+        raw("prescription_drug_events"), settle=claims.settled
     ),
-    "fact_carrier_claims": lambda raw: claims.build_carrier_claims(raw("carrier_claims")),
-    "fact_prescriptions": lambda raw: claims.build_prescriptions(raw("prescription_drug_events")),
 }
 CLINICAL_BUILDS = {
     "dim_patient_ehr": lambda res: clinical.build_patients(res, _as_of()),
@@ -58,9 +85,9 @@ CLINICAL_BUILDS = {
 
 
 def build(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One table, built by the library from the derived raw records."""
+    """One table, built by the library as its job does, from the landed raw files."""
     if name in CLAIMS_BUILDS:
-        return CLAIMS_BUILDS[name](lambda entity: standins.raw(spark, sf_dir, entity))
+        return CLAIMS_BUILDS[name](partial(raw, spark, sf_dir))
     return CLINICAL_BUILDS[name](resources(spark, sf_dir))
 
 
@@ -100,7 +127,7 @@ def _conform(entity: str):
     layout = schemas.RAW_ENTITIES[entity]
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        renamed = conform.rename_columns(standins.raw(spark, sf_dir, entity), layout)
+        renamed = conform.rename_columns(raw(spark, sf_dir, entity), layout)
         return conform.cast_columns(renamed, layout)
 
     return query
@@ -129,7 +156,8 @@ for _entity in schemas.RAW_ENTITIES:
     GROUP BY 1, 2
 """)
 def unnest_entries(spark, sf_dir):
-    exploded = explode_entries(standins.bundles(spark, sf_dir))
+    landing = landed_bundles(spark, sf_dir)
+    exploded = explode_entries(readers.read_bundles(spark, landing, one_per_line=True))
     return exploded.groupBy("bundle_id", "resource_type").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -175,8 +203,8 @@ def enrich_loinc(spark, sf_dir):
     FROM ({expected.typed('inpatient_claims')}) c LEFT JOIN codes ON diag_code_1 = DGNS_CD
 """)
 def enrich_from_landed_codes(spark, sf_dir):
-    lookup = claims.build_diagnosis_lookup(standins.raw(spark, sf_dir, "diagnosis_codes"))
+    lookup = claims.build_diagnosis_lookup(raw(spark, sf_dir, "diagnosis_codes"))
     fact = conform.rename_columns(
-        standins.raw(spark, sf_dir, "inpatient_claims"), schemas.INPATIENT
+        raw(spark, sf_dir, "inpatient_claims"), schemas.INPATIENT
     ).select("claim_id", "diag_code_1")
     return clinical_ops.enrich_icd10(fact, "diag_code_1", lookup)
