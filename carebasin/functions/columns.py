@@ -139,4 +139,4 @@ def mean(number: Column, places: int = 2) -> Column:
 def share(condition: Column, places: int = 1) -> Column:
     """Percentage of the group's rows that meet the condition."""
     hits = (F.count_if(condition) * F.lit(100)).cast("decimal(20,0)")
-    return F.round(hits / F.count(F.lit(1)), places)
+    return F.round(F.try_divide(hits, F.count(F.lit(1))), places)

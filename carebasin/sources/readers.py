@@ -50,8 +50,10 @@ def read_table(
 ) -> DataFrame:
     """A Parquet table. Give the schema to keep the types of partition columns,
     which folder names alone would not tell (``01`` or ``true`` as text)."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    if schema is None:
+        return spark.read.parquet(path)
+    # Spark puts partition columns last; the schema's order is restored.
+    return spark.read.schema(schema).parquet(path).select(schema.names)
 
 
 def open_lake(

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from carebasin.session import fresh_folder
+from carebasin.sources.readers import read_table
 
 
 def write_table(
@@ -43,4 +44,4 @@ def stage(df: DataFrame, label: str = "stage", partition_by: Sequence[str] = ())
     """
     path = fresh_folder(df.sparkSession, label)
     write_table(df, path, partition_by, rebalance=False)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return read_table(df.sparkSession, path, df.schema)
