@@ -16,7 +16,7 @@ from carebasin.streaming import feeds
 from checks import expected, standins
 from checks.registry import check
 from checks.standins import given
-from checks.tables import DAY, Lake, _as_of, build, landed_bundles, raw, resources
+from checks.tables import Lake, _as_of, build, landed, landed_bundles, raw, resources
 
 @check(standins.raw_sql("inpatient_claims"))
 def landed_csv_scan(spark, sf_dir):
@@ -87,11 +87,9 @@ ENTITIES = (
 ))
 def claims_job(spark, sf_dir):
     """Landed files to five written tables."""
-    landing, lake = fresh_folder(spark, "landing"), fresh_folder(spark, "claims-lake")
     for entity in ENTITIES:
-        names = [c.raw for c in schemas.RAW_ENTITIES[entity]]
-        records = standins.raw(spark, sf_dir, entity).select(names)
-        records.write.option("header", True).csv(f"{landing}/{DAY}/{entity}_0001.csv")
+        landing = landed(spark, sf_dir, entity)
+    lake = fresh_folder(spark, "claims-lake")
     claims.run(spark, landing, lake, _as_of())
     return row_counts(readers.open_lake(spark, claims=lake))
 

@@ -28,21 +28,21 @@ def _as_of():
 DAY = "year=2024/month=06/day=15"
 
 
+@lru_cache(maxsize=None)
+def landing_zone(spark: SparkSession, sf_dir: str) -> str:
+    return fresh_folder(spark, "landing")
+
+
 @lru_cache(maxsize=None)
 def landed(spark: SparkSession, sf_dir: str, entity: str) -> str:
-    """A landing zone with the raw records of one entity as CSV, written once."""
-    landing = fresh_folder(spark, "landing")
+    """The landing zone, with the raw records of the entity as CSV, written once."""
+    landing = landing_zone(spark, sf_dir)
     names = [c.raw for c in schemas.RAW_ENTITIES[entity]]
     records = standins.raw(spark, sf_dir, entity).select(names)
     records.write.option("header", True).csv(f"{landing}/{DAY}/{entity}_0001.csv")
     return landing
 
 
-def raw(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    """The raw records of one entity, as scanned from the landing zone."""
-    return readers.read_raw_entity(spark, landed(spark, sf_dir, entity), entity)
-
-
 @lru_cache(maxsize=None)
 def landed_bundles(spark: SparkSession, sf_dir: str) -> str:
     """A landing folder with all bundles, one per line, written once."""

@@ -66,7 +66,7 @@ def test_a_replayed_batch_replaces_itself(spark, feed):
     write_table(providers(spark, 1, 2, 3), feed.source, ["state_code"])
     feeds.run_feed(spark, feed)
     batch = spark.read.schema(feed.schema).parquet(feed.source).select(
-        "*", F.col("_metadata").alias("_file")
+        "*", feeds._source_file()
     )
     feeds._load_batch(feed, batch, 0)
     assert feeds.loaded_rows(spark, feed).count() == 3
