@@ -53,8 +53,8 @@ def mart(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
 
 
 def run_query(spark: SparkSession, name: str, tables: Tables | None = None) -> DataFrame:
-    """Run a mart by name, on the given frames or on the catalog's tables."""
-    return MARTS[name](CatalogTables(spark) if tables is None else tables)
+    """Run a mart by name (any case), on the given frames or on the catalog's tables."""
+    return MARTS[name.lower()](CatalogTables(spark) if tables is None else tables)
 
 
 class CatalogTables(Mapping):
