@@ -1,6 +1,6 @@
 """Rows, seconds, shuffle bytes and scans of every registered query.
 
-Usage: python -m checks.measure [sf_dir]   (prints a Markdown table)
+Usage: python -m checks.measure [sf_dir [name ...]]   (prints a Markdown table)
 """
 
 from __future__ import annotations
@@ -37,7 +37,8 @@ def main(arguments: list[str]) -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     print("| query | rows | seconds | shuffle KB | scans |\n| --- | --- | --- | --- | --- |")
-    for name, query in QUERIES.items():
+    for name in arguments[1:] or QUERIES:
+        query = QUERIES[name]
         query(spark, sf_dir).write.format("noop").mode("overwrite").save()
         before, start = shuffled(spark), time.perf_counter()
         frame = query(spark, sf_dir)

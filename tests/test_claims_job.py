@@ -185,3 +185,24 @@ def test_stage_reads_back_the_same_rows(spark):
     staged = stage(frame, "test", ["b"])
     assert staged.schema == frame.schema
     assert sorted(map(tuple, staged.select("a", "b", "c").collect())) == [(1, "01", None), (2, "02", True)]
+
+
+def test_one_patient_with_a_third_of_all_claims(spark):
+    claims_ = spark.range(3000).select(
+        F.col("id").cast("string").alias("claim_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 200)).alias("patient_id"),
+        (F.col("id") % 1000).cast("decimal(12,2)").alias("payment_amount"),
+    )
+    patients = claims_.select("patient_id").distinct().select(
+        "patient_id", F.lit("65+").alias("age_group"), F.lit(None).cast("string").alias("gender_label"),
+        F.lit(None).cast("int").alias("risk_score"),
+    )
+    rows = marts.high_cost_patients({"fact_claims": claims_, "dim_patient_cms": patients}).collect()
+    spend = {}
+    for i in range(3000):
+        spend.setdefault("hot" if i % 3 == 0 else f"p{i % 200}", []).append(i % 1000)
+    want = sorted(spend.items(), key=lambda item: (-sum(item[1]), item[0]))[:20]
+    assert [(r.patient_id, r.total_claims, int(r.total_spend)) for r in rows] == [
+        (name, len(paid), sum(paid)) for name, paid in want
+    ]
+    assert (rows[0].gender_label, rows[0].risk_tier, rows[0].risk_score) == ("Unknown", "High", 0)
