@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carebasin.llm import line_dedup, mixing, quality_rules
+from carebasin.llm import decontaminate, line_dedup, mixing, quality_rules
 from carebasin.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,8 @@ def op6_line_dedup(spark, sf_dir):
 @query(quality_rules.SQL)
 def op9_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+
+
+@query(decontaminate.SQL)
+def op8_decontaminate(spark, sf_dir):
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
