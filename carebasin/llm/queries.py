@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carebasin.llm import decontaminate, line_dedup, mixing, quality_rules
+from carebasin.llm import decontaminate, line_dedup, mixing, ngram_join, quality_rules
 from carebasin.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_ngram_join(spark, sf_dir):
+    return ngram_join.join_documents(table(spark, sf_dir, "documents"))
+
+
 @query(mixing.SQL)
 def op5_mix_sources(spark, sf_dir):
     return mixing.report(table(spark, sf_dir, "documents"))
