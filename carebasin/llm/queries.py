@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carebasin.llm import decontaminate, line_dedup, mixing, ngram_join, quality_rules
+from carebasin.llm import (
+    decontaminate,
+    language,
+    line_dedup,
+    mixing,
+    ngram_join,
+    quality_crf,
+    quality_rules,
+)
 from carebasin.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +36,11 @@ def op1_ngram_join(spark, sf_dir):
     return ngram_join.join_documents(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op3_language(spark, sf_dir):
+    return language.report(table(spark, sf_dir, "documents"))
+
+
 @query(mixing.SQL)
 def op5_mix_sources(spark, sf_dir):
     return mixing.report(table(spark, sf_dir, "documents"))
@@ -46,3 +59,8 @@ def op9_quality_rules(spark, sf_dir):
 @query(decontaminate.SQL)
 def op8_decontaminate(spark, sf_dir):
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op10_quality_classifier(spark, sf_dir):
+    return quality_crf.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
