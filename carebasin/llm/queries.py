@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from carebasin.llm import (
     decontaminate,
     language,
+    lattice_lm,
     line_dedup,
     mixing,
     ngram_join,
     quality_crf,
     quality_rules,
+    warc,
 )
 from carebasin.llm.common import table
 
@@ -41,6 +43,11 @@ def op3_language(spark, sf_dir):
     return language.report(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op4_warc(spark, sf_dir):
+    return warc.report(table(spark, sf_dir, "pages"))
+
+
 @query(mixing.SQL)
 def op5_mix_sources(spark, sf_dir):
     return mixing.report(table(spark, sf_dir, "documents"))
@@ -56,6 +63,11 @@ def op9_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op7_lattice_lm(spark, sf_dir):
+    return lattice_lm.report(table(spark, sf_dir, "documents"))
+
+
 @query(decontaminate.SQL)
 def op8_decontaminate(spark, sf_dir):
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
