@@ -61,7 +61,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     (lines) and ``line_spans`` (removed runs)."""
     docs = docs.drop(*[c for c in docs.columns if c.startswith("line_")])
     starts = stage(covered_lines(docs), "line-covered")
-    joined = docs.withColumn("line_key", row_key()).join(starts, "line_key", "left")
+    # a merge join at every size: the texts are shuffled by key, the starts never broadcast
+    joined = docs.withColumn("line_key", row_key()).join(starts.hint("merge"), "line_key", "left")
     joined = joined.withColumn("line_all", F.split("text", "\n", -1)).withColumn(
         "line_gone",
         F.array_distinct(F.flatten(F.transform("starts", lambda s: F.array(*[s + k for k in range(LINES)])))),
