@@ -15,6 +15,7 @@ from carebasin.llm import (
     ngram_join,
     quality_crf,
     quality_rules,
+    suffix_dedup,
     warc,
 )
 from carebasin.llm.common import table
@@ -38,6 +39,11 @@ def op1_ngram_join(spark, sf_dir):
     return ngram_join.join_documents(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op2_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op3_language(spark, sf_dir):
     return language.report(table(spark, sf_dir, "documents"))
