@@ -201,7 +201,10 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: Model, least: float = LEAST) -> DataFrame:
-    """The rows of ``docs`` with a language that holds at least ``least`` of the text."""
+    """The rows of ``docs`` with a language that holds at least ``least`` of the
+    text. A model that has learned nothing rejects nothing."""
+    if not model.languages:
+        return docs
     labelled = predict(docs, model)
     return labelled.where((F.col("lang_pred") != "und") & (F.col("lang_score") >= least)).select(*docs.columns)
 

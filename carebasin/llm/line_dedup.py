@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carebasin.llm.common import row_key
+from carebasin.llm.common import WORD, row_key
 from carebasin.sources.writers import stage
 
 #: Lines in a window.
@@ -82,6 +82,17 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     )
 
 
+def shortened(docs: DataFrame) -> DataFrame:
+    """``docs`` with the kept text in place of ``text`` and its length in
+    ``n_chars``; documents of which no word is left go."""
+    marked = deduplicated(docs).where((F.col("line_removed") == 0) | F.col("line_text").rlike(WORD))
+    new = {"text": F.col("line_text")}
+    if "n_chars" in docs.columns:
+        kind = dict(docs.dtypes)["n_chars"]
+        new["n_chars"] = F.when(F.col("line_removed") > 0, F.length("line_text")).otherwise(F.col("n_chars")).cast(kind)
+    return marked.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns if not c.startswith("line_")])
+
+
 def report(docs: DataFrame) -> DataFrame:
     """One row per document with a digest of what is kept (null text: of '')."""
     kept = F.coalesce("line_text", F.lit(""))

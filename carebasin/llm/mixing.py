@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from carebasin.llm.common import WORD
+from carebasin.llm.common import WORD, row_key
 from carebasin.sources.writers import stage
 
 #: Weights of the sources in code point order, repeated.
@@ -84,10 +84,11 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most
 
 
 def plan(docs: DataFrame, seed: str = SEED, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """Each document's ``doc_id, mix_source, size, source_size, target, copies``."""
+    """Each document's ``doc_id, mix_row, mix_source, size, source_size, target,
+    copies``; ``mix_row`` is a key of id and text."""
     slim = stage(
         docs.select(
-            "doc_id", source_key().alias("mix_source"),
+            "doc_id", row_key().alias("mix_row"), source_key().alias("mix_source"),
             F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
             F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 3)
             .alias("mix_bucket"),
@@ -106,41 +107,31 @@ def plan(docs: DataFrame, seed: str = SEED, weights=WEIGHTS, share: float = SHAR
     )
     places = before_bucket.join(before_size, group).join(targets, "mix_source")
     places = places.withColumn("before", F.col("by_size") + F.col("by_bucket")).drop("by_size", "by_bucket")
-    inside = Window.partitionBy(*group, "mix_bucket").orderBy("doc_id")
+    inside = Window.partitionBy(*group, "mix_bucket").orderBy("doc_id", "mix_row")
     placed = slim.withColumn("inside", F.row_number().over(inside)).join(places, [*group, "mix_bucket"])
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     place = F.col("before") + F.col("inside")
     offset = uniform(seed, F.col("mix_source"))
     crossed = F.floor(offset + place * expected) - F.floor(offset + (place - 1) * expected)
     return placed.select(
-        "doc_id", "mix_source", "size", "source_size", "target", crossed.cast("long").alias("copies")
+        "doc_id", "mix_row", "mix_source", "size", "source_size", "target", crossed.cast("long").alias("copies")
     )
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as the plan says, with
-    the number of the copy in ``mix_copy`` (from 1)."""
+    the number of the copy in ``mix_copy`` (from 1). Rows that repeat id and text
+    share their copies evenly."""
     docs = docs.drop(*[c for c in docs.columns if c.startswith("mix_")])
-    copies = plan(docs, **options).groupBy("doc_id", "mix_source", "size").agg(F.sum("copies").alias("mix_copies"))
-    copies = copies.where("mix_copies > 0").select(
-        F.col("doc_id").alias("mix_doc"), "mix_source", F.col("size").alias("mix_size"), "mix_copies"
+    copies = plan(docs, **options).groupBy("mix_row").agg(
+        F.sum("copies").alias("mix_copies"), F.count(F.lit(1)).alias("mix_rows")
     )
-    copies = stage(copies, "mix-copies")
-    sized = docs.withColumn("mix_key", source_key()).withColumn(
-        "mix_words", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    )
-    # rows that repeat id, source and size share their copies; the first rows take them
-    twin = Window.partitionBy("mix_key", "doc_id", "mix_words").orderBy("text")
-    joined = sized.join(
-        copies,
-        F.col("doc_id").eqNullSafe(F.col("mix_doc")) & (F.col("mix_key") == F.col("mix_source"))
-        & (F.col("mix_words") == F.col("mix_size")),
-    )
-    rows = joined.withColumn("mix_row", F.row_number().over(twin)).withColumn(
-        "mix_rows", F.count(F.lit(1)).over(Window.partitionBy("mix_key", "doc_id", "mix_words"))
-    )
-    share = F.floor((F.col("mix_copies") - F.col("mix_row") + F.col("mix_rows")) / F.col("mix_rows")).cast("int")
-    return rows.withColumn("mix_share", share).where("mix_share > 0").select(
+    copies = stage(copies.where("mix_copies > 0"), "mix-copies")
+    # a merge join at every size; the rank needs no further shuffle
+    joined = docs.withColumn("mix_row", row_key()).join(copies.hint("merge"), "mix_row")
+    rank = F.row_number().over(Window.partitionBy("mix_row").orderBy(source_key()))
+    share = F.floor((F.col("mix_copies") - rank + F.col("mix_rows")) / F.col("mix_rows")).cast("int")
+    return joined.withColumn("mix_share", share).where("mix_share > 0").select(
         *docs.columns, F.explode(F.sequence(F.lit(1), F.col("mix_share"))).alias("mix_copy")
     )
 

@@ -36,10 +36,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from carebasin.llm.common import Texts, chunks, mix, words
+from carebasin.llm.common import WORD, Texts, chunks, mix, row_key, words
 from carebasin.llm.components import connected
 from carebasin.sources.writers import stage
 
@@ -397,20 +397,23 @@ def answer_cells(cells: DataFrame, every: DataFrame, weights: DataFrame) -> Data
     return filled.groupBy("cell", "x", "y").applyInArrow(work, "a long, b long, links long")
 
 
-def join_documents(docs: DataFrame, k: int = WORDS) -> DataFrame:
-    """``doc_id, n_shingles, component_id, n_links``, one row a document."""
+def labelled(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame]:
+    """Documents ``doc_id, key, id, n`` with the id of their set and a key of id
+    and text, and sets ``id, label, component_id, n_links``."""
     order = Order(heavy_grams(docs, k))
-    text = docs.select("doc_id", "text")
+    text = docs.select("doc_id", row_key().alias("key"), "text")
 
     def measure(batches):
         for batch, found in sets(batches, order, k):
             n, ids = np.zeros(batch.num_rows, np.int64), [None] * batch.num_rows
             for row, id_, keys in found:
                 n[row], ids[row] = len(keys), id_
-            yield pa.record_batch([batch.column("doc_id"), pa.array(ids, pa.int64()), pa.array(n)], ["doc_id", "id", "n"])
+            yield pa.record_batch(
+                [batch.column("doc_id"), batch.column("key"), pa.array(ids, pa.int64()), pa.array(n)], ["doc_id", "key", "id", "n"]
+            )
 
     kind = dict(docs.dtypes)["doc_id"]
-    slim = stage(text.mapInArrow(measure, f"doc_id {kind}, id long, n long"), "join-docs")
+    slim = stage(text.mapInArrow(measure, f"doc_id {kind}, key long, id long, n long"), "join-docs")
     rows = stage(list_rows(postings(docs, order, k)), "join-rows")
     pairs = rows.where("NOT long_list").select("a", "b").distinct()
     lists = rows.where("long_list").select("key", F.col("a").alias("id"), "n", "at")
@@ -447,11 +450,35 @@ def join_documents(docs: DataFrame, k: int = WORDS) -> DataFrame:
     total = counts.groupBy("id").agg(F.sum("links").alias("links"))
     by_set = stage(
         least.join(component, "label").join(total, "id", "left")
-        .select("id", "component_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")),
+        .select("id", "label", "component_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")),
         "join-by-set",
     )
+    return slim, by_set
+
+
+def join_documents(docs: DataFrame, k: int = WORDS) -> DataFrame:
+    """``doc_id, n_shingles, component_id, n_links``, one row a document."""
+    slim, by_set = labelled(docs, k)
     return slim.join(by_set, "id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
+
+
+def one_per_group(docs: DataFrame, k: int = WORDS) -> DataFrame:
+    """The rows of ``docs`` but for all of a group except the one of the smallest
+    id. Documents without words are in no group and stay."""
+    docs = docs.drop("join_key", "join_rank")
+    slim, by_set = labelled(docs, k)
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")
+    first = slim.where("id IS NOT NULL").join(by_set.select("id", "label"), "id").groupBy("label").agg(F.min(place).alias("x"))
+    keep = stage(first.select(F.col("x.key").alias("join_key")), "join-kept")
+    keyed = docs.withColumn("join_key", row_key())
+    worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    single = keyed.where(worded).join(keep.hint("merge"), "join_key", "left_semi")
+    # rows that repeat id and text share a key
+    plain = [c for c, kind in docs.dtypes if not kind.startswith(("map", "variant", "interval"))]
+    rank = F.row_number().over(Window.partitionBy("join_key").orderBy(*plain))
+    single = single.withColumn("join_rank", rank).where("join_rank = 1")
+    return single.select(*docs.columns).unionByName(keyed.where(~worded).select(*docs.columns))
