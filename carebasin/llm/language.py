@@ -81,7 +81,7 @@ class Model:
         smooth = counts + SMOOTHING
         self.log = np.log(smooth / smooth.sum(1, keepdims=True)).T.astype(np.float32).copy()
         # only ratios matter; scaling by the best language avoids tiny numbers
-        self.odds = np.exp(self.log - self.log.max(1, keepdims=True))
+        self.odds = np.exp(self.log - self.log.max(1, keepdims=True, initial=-1e9))
         self.default = languages[int(np.argmax(counts.sum(1)))] if languages else None
 
 

@@ -138,7 +138,7 @@ def marginals(emission: np.ndarray, lengths: np.ndarray, first: np.ndarray, chai
         back = following @ weight.T
         backward[at] = back / back.sum(1, keepdims=True)
     both = forward * backward
-    return both[:, 1] / both.sum(1), pairs, norm
+    return both[:, 1] / both.sum(1), pairs, np.add.reduceat(norm, first)
 
 
 class Field:

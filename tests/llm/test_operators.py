@@ -1,0 +1,265 @@
+"""Parts of the corpus operators on their own."""
+
+import itertools
+import random
+
+import brute
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from carebasin.llm import decontaminate, language, lattice_lm, line_dedup, mixing, ngram_join, quality_crf, suffix_dedup, warc
+from carebasin.llm.common import Texts, chunks, words
+from carebasin.llm.components import connected
+
+
+def batch(texts):
+    return pa.record_batch([pa.array(texts, pa.string())], ["text"])
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_words_of_bytes_equal_the_pattern():
+    texts = ["a b", None, "", " A\tb\x0bc ", "é ü", "x" * 1000 + " y", "\n"]
+    for size in (1, 5, 10_000):
+        got = []
+        for piece in chunks([batch(texts)], limit=size):
+            starts, ends, hashes, first = words(piece)
+            raw = piece.data.tobytes()
+            cut = [raw[s:e].decode().translate(brute.LOWER) for s, e in zip(starts, ends)]
+            got += [cut[a:b] for a, b in zip(first, first[1:])]
+            assert len(set(hashes.tolist())) == len(set(cut))
+        assert got == [brute.words(t) for t in texts]
+
+
+@pytest.mark.parametrize("short, block", [(1, 1 << 20), (2, 60)])
+def test_join_through_pivots_and_blocks(spark, monkeypatch, short, block):
+    monkeypatch.setattr(ngram_join, "SHORT", short)
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "REPEATED", 2)
+    rows = [r for r in brute.odd_documents(9) if r[0] is None or r[0] < 90]
+    got = [tuple(r) for r in ngram_join.join_documents(frame(spark, rows)).collect()]
+    assert brute.in_order(got) == brute.in_order(brute.join(rows))
+
+
+def test_join_stops_after_its_rounds(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "ROUNDS", 1)
+    monkeypatch.setattr(ngram_join, "SHORT", 1)
+    rows = [r for r in brute.odd_documents(3) if r[0] is None or r[0] < 90]
+    got = [tuple(r) for r in ngram_join.join_documents(frame(spark, rows)).collect()]
+    assert brute.in_order(got) == brute.in_order(brute.join(rows))
+
+
+def test_one_of_each_group_stays(spark):
+    rows = brute.odd_documents()
+    kept = [tuple(r) for r in ngram_join.one_per_group(frame(spark, rows)).collect()]
+    assert brute.in_order(kept) == brute.in_order(brute.kept_of_groups(rows))
+
+
+def test_components_of_paths_and_stars(spark):
+    edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7)]
+    got = {r.node: r.label for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{k: 0 for k in range(41)}, **{k: 100 for k in range(100, 160)}}
+
+
+def test_suffix_dedup_in_small_pieces(spark, monkeypatch):
+    for name, value in (("SORTED", 40), ("BUCKET", 50), ("COMBINED", 25), ("PIECE", 900)):
+        monkeypatch.setattr(suffix_dedup, name, value)
+    rows = brute.odd_documents(11)
+    got = [tuple(r) for r in suffix_dedup.report(frame(spark, rows)).collect()]
+    assert brute.in_order(got) == brute.in_order(brute.suffix(rows))
+
+
+def test_every_string_holds_a_token_at_a_fixed_place():
+    rng = np.random.default_rng(1)
+    string = rng.integers(97, 100, 100).astype(np.uint8)
+    places = set()
+    for _ in range(20):
+        data = np.concatenate([rng.integers(97, 100, 130).astype(np.uint8), string, rng.integers(97, 100, 150).astype(np.uint8)])
+        at, _ = suffix_dedup.tokens(data, np.array([0, len(data)]))
+        inside = at[(at >= 130) & (at <= 130 + suffix_dedup.BEFORE)] - 130
+        assert len(inside)
+        places.update(inside.tolist()) if not places else places.intersection_update(inside.tolist())
+    assert places
+
+
+def test_multikey_order_sorts_bytes():
+    rng = np.random.default_rng(2)
+    rows = rng.integers(0, 3, (500, 20)).astype(np.uint8)
+    rows[::3] = rows[0]
+    got = [rows[k].tobytes() for k in suffix_dedup.multikey_order(rows)]
+    assert got == sorted(r.tobytes() for r in rows)
+
+
+def test_mixture_of_two_languages():
+    a, b = "the ring of that sing", "über schön grün für"
+    counts = np.zeros((2, language.BUCKETS))
+    for k, text in enumerate((a, b)):
+        _, bucket, n = language.bag(Texts(batch([text * 20]), "text"))
+        counts[k, bucket] += n
+    model = language.Model(["a", "b"], counts)
+    texts = [a * 30, b * 30, (a + " " + b) * 30, "xyz", "12", None]
+    best, share, size = language.infer(model, Texts(batch(texts), "text"))
+    assert best[:2].tolist() == [0, 1] and share[0] == 1 and size[:3].tolist() == [1, 1, 2]
+    assert 0.3 < share[2] < 0.7 and best[5] == -1
+
+
+def test_long_texts_are_counted_in_pieces(monkeypatch):
+    texts = Texts(batch(["abc def ghi" * 50, "xyz", None, "q" * 99]), "text")
+    whole = language.bag(texts)
+    monkeypatch.setattr(language, "PIECE", 13)
+    assert all((x == y).all() for x, y in zip(whole, language.bag(texts)))
+
+
+def test_archive_is_read_back_and_faults_are_found():
+    payloads = [f"<html>{'common words ' * 20}{k}</html>".encode() for k in range(60)]
+    records = [warc.encode_record(k, "u", p, warc.digest(p), None) for k, p in enumerate(payloads)]
+    trained = warc.dictionary(payloads)
+    assert trained
+    archive = warc.encode_archive(records, trained)
+    rows = list(warc.decode_archive(archive))
+    assert [r["payload"] for r in rows] == payloads and not any(r["error"] for r in rows)
+    assert [r["error"] for r in warc.decode_archive(archive[:-3])][-1] == "frame is cut off"
+    assert next(iter(warc.decode_archive(b"nothing")))["error"] == "no dictionary frame"
+    broken = bytearray(archive)
+    broken[len(archive) - 12] ^= 255
+    assert [r["error"] for r in warc.decode_archive(bytes(broken))][-1]
+    for change in ((b"WARC/1.1", b"WARC/9.9"), (b"sha1:", b"sha1:A"), (b"WARC-Date", b"WARC-Dato"), (b"</html>", b"</htm>")):
+        bad = warc.encode_archive([records[0].replace(*change)], trained)
+        assert next(iter(warc.decode_archive(bad)))["error"]
+
+
+def test_lattice_sums_all_ways():
+    pieces = tuple(bytes([k]) for k in range(256)) + (b"ab", b"ba", b"aba", warc.VERSION, "▁a".encode())
+    rng = np.random.default_rng(3)
+    logs = np.log(rng.dirichlet(np.ones(len(pieces))))
+    model = lattice_lm.Lattice(pieces, logs)
+    place = {p: k for k, p in enumerate(pieces)}
+
+    def ways(word):
+        if not word:
+            yield []
+        for j in range(1, len(word) + 1):
+            if word[:j] in place:
+                for rest in ways(word[j:]):
+                    yield [place[word[:j]], *rest]
+
+    given = [b"ab", b"aba", b"c", b"abab", b"a" * 60]
+    short = given[:4]
+    total = [sum(np.exp(logs[w].sum()) for w in map(np.array, ways(lattice_lm.MARK + x))) for x in short]
+    assert np.allclose(model.score(short), np.log(total))
+    expected = np.zeros(len(pieces))
+    for x, t, n in zip(short, total, (1, 2, 3, 4)):
+        for w in ways(lattice_lm.MARK + x):
+            for k in w:
+                expected[k] += n * np.exp(logs[w].sum()) / t
+    assert np.allclose(model.expected(short, np.array([1, 2, 3, 4])), expected)
+    long_one, before = model.score(given)[-1], lattice_lm.LONG
+    lattice_lm.LONG = 1000
+    try:
+        assert np.isclose(model.score(given)[-1], long_one)
+        both = model.expected(given[-1:], np.array([2]))
+    finally:
+        lattice_lm.LONG = before
+    assert np.allclose(model.expected(given[-1:], np.array([2])), both)
+
+
+def test_scores_do_not_depend_on_the_travelling_words(spark, monkeypatch):
+    docs = frame(spark, [r for r in brute.odd_documents() if r[0] is None or r[0] < 40])
+    result = lambda: sorted((r.doc_id or -1, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in lattice_lm.report(docs).collect())
+    want = result()
+    monkeypatch.setattr(lattice_lm, "TOP", 3)
+    assert result() == want
+
+
+def test_marginals_equal_all_labellings():
+    rng = np.random.default_rng(4)
+    lengths = np.array([3, 1, 4])
+    first = np.array([0, 3, 4])
+    emission, chain = rng.normal(size=8), rng.normal(size=(2, 2))
+    good, pairs, norm = quality_crf.marginals(emission, lengths, first, chain)
+    want_pairs = np.zeros((2, 2))
+    for k, (n, f) in enumerate(zip(lengths, first)):
+        weights = {
+            y: np.exp(sum(emission[f + t] * y[t] for t in range(n)) + sum(chain[y[t], y[t + 1]] for t in range(n - 1)))
+            for y in itertools.product((0, 1), repeat=int(n))
+        }
+        z = sum(weights.values())
+        assert np.isclose(norm[k], np.log(z))
+        for t in range(n):
+            assert np.isclose(good[f + t], sum(w for y, w in weights.items() if y[t]) / z)
+            if t + 1 < n:
+                for y, w in weights.items():
+                    want_pairs[y[t], y[t + 1]] += w / z
+    assert np.allclose(pairs, want_pairs)
+
+
+def test_lines_of_texts():
+    texts = ["a\nb\n\na", None, "", "\n", "x" * 50 + "\n" + "x" * 50, "é"]
+    features, size, first = quality_crf.line_features(Texts(batch(texts), "text"))
+    lines = [len(t.encode()) for x in texts for t in (x or "").split("\n")]
+    assert size.tolist() == lines
+    assert np.diff(first).tolist() == [len((x or "").split("\n")) for x in texts]
+    repeated = features[:, 15]
+    assert repeated[3] == 1 and repeated[0] == 0 and repeated[first[4] + 1] == 1 and repeated[first[5]] == 0
+    assert np.isfinite(features).all()
+
+
+def test_curve_without_both_labels():
+    x, size, lengths, first = np.ones((2, quality_crf.FEATURES)), np.ones(2), np.array([1, 1]), np.array([0, 1])
+    field = quality_crf.fit(x, size, lengths, first, np.array([1, 1]), np.array([0, 1]))
+    assert 0.99 < field.score(np.array([0.3]))[0] <= 1
+    none = np.zeros(0, int)
+    assert quality_crf.fit(x[:0], size[:0], none, none, none, none).score(np.array([0.3]))[0] == 0.5
+
+
+def test_mix_copies_follow_the_plan(spark):
+    rows = brute.odd_documents()
+    docs = frame(spark, rows).withColumn("mix_copy", F.lit(1))
+    plan = mixing.plan(docs).groupBy("mix_row").agg(F.sum("copies").alias("n")).where("n > 0")
+    out = mixing.mixed(docs)
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "mix_copy"]
+    assert out.count() == plan.agg(F.sum("n")).first()[0]
+    assert out.where("mix_copy > 2").count() == 0
+
+
+def test_taken_words_come_near_the_target(spark):
+    rng = random.Random(6)
+    rows = [(k, " ".join(["w"] * rng.randint(0, 60)), "en", rng.choice("aabcd"), 0) for k in range(2000)]
+    taken = mixing.report(frame(spark, rows)).groupBy("source_size", "target").agg(F.sum("taken").alias("taken"), F.max("size").alias("most"))
+    for r in taken.collect():
+        assert abs(r.taken - r.target) <= r.most
+
+
+def test_targets_stop_and_are_shared_anew(spark):
+    sizes = spark.createDataFrame([("0a", 100), ("0b", 1000), ("0c", 1000), ("1", 0)], "mix_source string, size long")
+    got = {r.mix_source: r.target for r in mixing.source_targets(sizes).collect()}
+    # shares of 3150 by 5, 2, 1, 5: the first stops at 200, the last at 0, then the second at 2000
+    assert got == {"0a": 200.0, "0b": 1966.6666666666667, "0c": 983.3333333333334, "1": 0.0}
+
+
+def test_near_phrases_are_told_from_exact_ones(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    near = item.replace("delta", "other")
+    docs = spark.createDataFrame([(1, f"x {item} y"), (2, f"x {near} y"), (3, "delta delta")], "doc_id long, text string")
+    items = spark.createDataFrame([(5, item)], "item_id long, text string")
+    found = decontaminate.matches(docs, items).select("item", "start", "phrase").collect()
+    assert sorted(map(tuple, found)) == [("5", 1, False), ("5", 1, True)]
+    assert [r.doc_id for r in decontaminate.clean(docs, items).collect()] == [2, 3]
+
+
+def test_terms_are_joined_by_shuffle_beyond_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST", 0)
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j k"), (2, "a b c")], "doc_id long, text string")
+    items = spark.createDataFrame([(5, "b c d e f g h i j k"), (6, "a b c")], "item_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in decontaminate.report(docs, items).collect()}
+    assert got == {1: (11, 11, 2), 2: (3, 3, 1)}
+
+
+def test_lines_left_of_a_text(spark):
+    rows = [(1, "a\nb\nc\nd", "en", "s", 7), (2, "x\na\nb\nc\ny", "en", "s", 9), (3, "a\nb\nc", "en", "s", 5), (4, None, "en", "s", None)]
+    got = {r.doc_id: (r.text, r.n_chars) for r in line_dedup.shortened(frame(spark, rows)).collect()}
+    assert got == {1: ("a\nb\nc\nd", 7), 2: ("x\ny", 3), 4: (None, None)}
