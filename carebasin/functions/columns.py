@@ -118,14 +118,6 @@ def sha_key(value: Column) -> Column:
 
 # -- aggregates --------------------------------------------------------------------
 
-def exact(number: Column) -> Column:
-    """A float column as decimal: its sums do not depend on the row order.
-
-    NaN, infinities and values of 1e18 or more become NULL.
-    """
-    return number.try_cast("decimal(24,6)")
-
-
 def total(number: Column, places: int = 2) -> Column:
     return F.round(F.sum(number), places)
 
@@ -136,6 +128,36 @@ def mean(number: Column, places: int = 2) -> Column:
     return F.round(F.try_divide(F.sum(number).cast("decimal(26,6)"), F.count(number)), places)
 
 
+def _fixed(number: Column) -> Column:
+    """A double as a decimal of the same value, or NULL if there is none."""
+    fixed = number.try_cast("decimal(38,18)")
+    return F.when((F.abs(number) < F.lit(1e15)) & (fixed.cast("double") == number), fixed)
+
+
+def _all_fixed(number: Column) -> Column:
+    return F.count_if(number.isNotNull() & _fixed(number).isNull()) == 0
+
+
+def double_total(number: Column, places: int = 2) -> Column:
+    """Rounded sum of doubles.
+
+    If every value of the group has an equal decimal of 18 places, the sum is
+    that of the decimals and does not depend on the row order. Otherwise (NaN,
+    infinities, very large or very small values) it is the sum of the doubles;
+    no value is ever left out or rounded beforehand.
+    """
+    exact = F.round(F.try_sum(_fixed(number)), places).cast("double")
+    return F.coalesce(F.when(_all_fixed(number), exact), F.round(F.sum(number), places))
+
+
+def double_mean(number: Column, places: int = 2) -> Column:
+    """Rounded mean of doubles, from the exact sum where ``double_total`` has one."""
+    # decimal(30,10) / bigint keeps 18 places, so rounding happens only once.
+    whole = F.try_sum(_fixed(number)).try_cast("decimal(30,10)")
+    exact = F.round(F.try_divide(whole, F.count(number)), places).cast("double")
+    return F.coalesce(F.when(_all_fixed(number), exact), F.round(F.avg(number), places))
+
+
 def share(condition: Column, places: int = 1) -> Column:
     """Percentage of the group's rows that meet the condition."""
     hits = (F.count_if(condition) * F.lit(100)).cast("decimal(20,0)")

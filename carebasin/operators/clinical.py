@@ -13,6 +13,7 @@ from carebasin.operators.conform import change_present
 from carebasin.operators.dedup import one_per_key
 from carebasin.operators.people import add_age
 from carebasin.sources.readers import inline_table
+from carebasin.sources.writers import stage
 
 
 def normalize_timestamps(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -59,21 +60,31 @@ def flag_medications(df: DataFrame) -> DataFrame:
 
 # -- code enrichment ----------------------------------------------------------
 
+#: Values over which rows without a code are spread in the join.
+NULL_SPREAD = 1024
+
+
 def enrich(
     df: DataFrame, code: str, lookup: DataFrame, key: str, outputs: dict[str, str]
 ) -> DataFrame:
     """Left join with a code table; unknown codes keep their row.
 
     ``outputs`` maps lookup columns to result names. The lookup is cut to one
-    row per key first, so rows never multiply. No hint is given here: Spark
-    broadcasts a lookup whose size it knows to be small and otherwise shuffles
-    with skew handling.
+    row per key, so rows never multiply, and written once: the join then reads
+    two plain shuffles, and adaptive execution splits a code that holds many
+    rows. Rows without a code match nothing and are spread over the tasks. No
+    hint is given: Spark broadcasts a lookup whose size it knows to be small.
     """
-    slim = one_per_key(lookup.select(key, *outputs), [key])
+    slim = one_per_key(lookup.where(F.col(key).isNotNull()).select(key, *outputs), [key])
     slim = slim.select(
-        F.col(key).alias("_lookup_key"), *[F.col(c).alias(name) for c, name in outputs.items()]
+        F.col(key).alias("_lookup_key"), F.lit(0).alias("_lookup_spread"),
+        *[F.col(c).alias(name) for c, name in outputs.items()],
     )
-    return df.join(slim, F.col(code) == F.col("_lookup_key"), "left").drop("_lookup_key")
+    slim = stage(slim, "lookup")
+    other = F.pmod(F.xxhash64(*df.columns), F.lit(NULL_SPREAD)).cast("int") + 1
+    spread = df.withColumn("_spread", F.when(F.col(code).isNull(), other).otherwise(F.lit(0)))
+    on = (F.col(code) == F.col("_lookup_key")) & (F.col("_spread") == F.col("_lookup_spread"))
+    return spread.join(slim, on, "left").drop("_lookup_key", "_lookup_spread", "_spread")
 
 
 def _enrich_fixed(df: DataFrame, code: str, rows: list[tuple], names: Sequence[str]) -> DataFrame:

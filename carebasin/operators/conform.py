@@ -65,3 +65,17 @@ def align_by_name(df: DataFrame, target: T.StructType) -> DataFrame:
         return value.alias(field.name)
 
     return df.select([aligned(field) for field in target])
+
+
+def unfit_values(df: DataFrame, target: T.StructType) -> Column:
+    """Number of the row's values that ``align_by_name`` makes NULL, as they do not
+    fit their target type."""
+    held = {name.lower(): name for name in df.columns}
+    lost = F.lit(0)
+    for field in target:
+        source = held.get(field.name.lower())
+        if source is not None and df.schema[source].dataType != field.dataType:
+            value = F.col(f"`{source}`")
+            unfit = value.isNotNull() & value.try_cast(field.dataType).isNull()
+            lost = lost + unfit.cast("int")
+    return lost

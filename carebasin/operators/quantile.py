@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DIGITS_PER_STEP = 6
-INTEGRAL_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 18}
+INTEGRAL_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
 
 
 def approximate_quantile(
@@ -59,8 +59,12 @@ def exact_quantile(df: DataFrame, column: str, fraction: float) -> DataFrame:
 
 
 def _slot(width: int) -> Column:
-    units = F.col("units")
-    return (units - F.pmod(units, F.lit(width)) if width > 1 else units).alias("slot")
+    """Number of the slot: units divided by the width, rounded down. No step of it
+    can leave the range of bigint."""
+    if width == 1:
+        return F.col("units").alias("slot")
+    down = F.when(F.col("units") % F.lit(width) < 0, F.lit(1)).otherwise(F.lit(0))
+    return (F.call_function("div", F.col("units"), F.lit(width)) - down).alias("slot")
 
 
 def _place_of_rank(counts: DataFrame) -> DataFrame:

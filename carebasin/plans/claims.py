@@ -15,7 +15,7 @@ from carebasin import schemas
 from carebasin.operators import claims, conform, money, people
 from carebasin.operators.dedup import one_per_key
 from carebasin.sources.readers import read_raw_entity
-from carebasin.sources.writers import stage, write_table
+from carebasin.sources.writers import stage, stages_removed, write_table
 
 Settle = Callable[[DataFrame], DataFrame]
 
@@ -58,8 +58,8 @@ def _finish_fact(
 ) -> DataFrame:
     """Shared tail of the three fact tables.
 
-    ``settle`` may write the deduplicated rows once: the amount threshold and
-    the table itself both read them.
+    ``settle`` writes the deduplicated rows once, as the amount threshold and the
+    table itself both read them; ``_as_is`` leaves that out.
     """
     business_key, surrogate = key
     return (
@@ -73,7 +73,7 @@ def _finish_fact(
 
 
 def build_claims(
-    inpatient: DataFrame, outpatient: DataFrame, method: str = "exact", settle: Settle = _as_is
+    inpatient: DataFrame, outpatient: DataFrame, method: str = "exact", settle: Settle = settled
 ) -> DataFrame:
     """Inpatient and outpatient files to one claim fact."""
     both = conform.stack(
@@ -88,7 +88,7 @@ def build_claims(
 
 
 def build_carrier_claims(
-    raw: DataFrame, method: str = "exact", settle: Settle = _as_is
+    raw: DataFrame, method: str = "exact", settle: Settle = settled
 ) -> DataFrame:
     """Carrier (professional) claims to their fact."""
     typed = (
@@ -102,7 +102,7 @@ def build_carrier_claims(
 
 
 def build_prescriptions(
-    raw: DataFrame, method: str = "exact", settle: Settle = _as_is
+    raw: DataFrame, method: str = "exact", settle: Settle = settled
 ) -> DataFrame:
     """Prescription drug events to their fact."""
     typed = raw.transform(conform.rename_columns, schemas.PRESCRIPTION).transform(
@@ -120,7 +120,7 @@ def build_diagnosis_lookup(raw: DataFrame) -> DataFrame:
 
 def build_all(
     raw: Callable[[str], DataFrame], as_of: Column | None = None,
-    method: str = "exact", settle: Settle = _as_is,
+    method: str = "exact", settle: Settle = settled,
 ) -> dict[str, DataFrame]:
     """The five claims tables by name; ``raw`` gives the frame of a raw entity."""
     return {
@@ -140,8 +140,10 @@ def run(
     spark: SparkSession, landing: str, lake: str,
     as_of: Column | None = None, method: str = "exact",
 ) -> None:
-    """Read the landing zone, build all claims tables and write them."""
-    tables = build_all(partial(read_raw_entity, spark, landing), as_of, method, settled)
-    for name, df in tables.items():
-        prefix, partition_by = schemas.CLAIMS_LAKE[name]
-        write_table(df, f"{lake.rstrip('/')}/{prefix}", partition_by)
+    """Read the landing zone, build all claims tables and write them; the settled
+    copies are removed at the end."""
+    with stages_removed(spark):
+        tables = build_all(partial(read_raw_entity, spark, landing), as_of, method, settled)
+        for name, df in tables.items():
+            prefix, partition_by = schemas.CLAIMS_LAKE[name]
+            write_table(df, f"{lake.rstrip('/')}/{prefix}", partition_by)

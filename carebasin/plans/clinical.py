@@ -14,7 +14,7 @@ from carebasin.operators.dedup import one_per_key
 from carebasin.operators.documents import explode_entries, flatten, of_type
 from carebasin.operators.people import add_key, mask_columns
 from carebasin.sources.readers import read_bundles
-from carebasin.sources.writers import stage, write_table
+from carebasin.sources.writers import stage, stages_removed, write_table
 
 
 def flatten_patients(resources: DataFrame) -> DataFrame:
@@ -164,8 +164,10 @@ def run(
     spark: SparkSession, landing: str, lake: str,
     as_of: Column | None = None, lookup: DataFrame | None = None, one_per_line: bool = False,
 ) -> None:
-    """Read the bundles, build all clinical tables and write them."""
-    resources = stage_resources(read_bundles(spark, landing, one_per_line))
-    for name, df in build_all(resources, as_of, lookup).items():
-        prefix, partition_by = schemas.CLINICAL_LAKE[name]
-        write_table(df, f"{lake.rstrip('/')}/{prefix}", partition_by)
+    """Read the bundles, build all clinical tables and write them; the staged
+    resources are removed at the end."""
+    with stages_removed(spark):
+        resources = stage_resources(read_bundles(spark, landing, one_per_line))
+        for name, df in build_all(resources, as_of, lookup).items():
+            prefix, partition_by = schemas.CLINICAL_LAKE[name]
+            write_table(df, f"{lake.rstrip('/')}/{prefix}", partition_by)

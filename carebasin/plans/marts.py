@@ -7,6 +7,7 @@ key, and NULL aggregates sort last.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,6 +58,14 @@ def run_query(spark: SparkSession, name: str, tables: Tables | None = None) -> D
     return MARTS[name.lower()](CatalogTables(spark) if tables is None else tables)
 
 
+def run_sql(spark: SparkSession, text: str, tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Run SQL text. It names the catalog's tables as they are, and given frames
+    in braces: ``SELECT count(*) FROM {fact_claims}``. Only frames that the text
+    names are looked up, so a lake that reads on demand stays lazy."""
+    named = set(re.findall(r"\{(\w+)\}", text)) if tables is not None else set()
+    return spark.sql(text, **{name: tables[name] for name in named})
+
+
 class CatalogTables(Mapping):
     """The current database's tables as a mapping."""
 
@@ -89,7 +98,10 @@ def _top(df: DataFrame, k: int, by: str, *ties: str) -> DataFrame:
     return df.orderBy(F.desc_nulls_last(by), *ties).limit(k)
 
 
-def _by_month(df: DataFrame, day: str, amount: Column, names: tuple[str, str, str]) -> DataFrame:
+def _by_month(
+    df: DataFrame, day: str, amount: Column, names: tuple[str, str, str],
+    total_of=fx.total, mean_of=fx.mean,
+) -> DataFrame:
     """Count, total and mean per calendar month of a date or timestamp column."""
     count, total, mean = names
     return (
@@ -99,7 +111,7 @@ def _by_month(df: DataFrame, day: str, amount: Column, names: tuple[str, str, st
             F.month(day).alias("mo"),
             F.date_format(day, "yyyy-MM").alias("month_label"),
         )
-        .agg(_rows().alias(count), fx.total(amount).alias(total), fx.mean(amount).alias(mean))
+        .agg(_rows().alias(count), total_of(amount).alias(total), mean_of(amount).alias(mean))
         .orderBy("yr", "mo")
     )
 
@@ -263,14 +275,14 @@ def top_drugs(tables: Tables) -> DataFrame:
 
 @mart
 def encounter_by_class(tables: Tables) -> DataFrame:
-    cost = fx.exact(F.col("total_cost"))
+    cost = F.col("total_cost")
     return (
         tables["fact_encounters"]
         .groupBy(_or_unknown("encounter_class").alias("encounter_class"))
         .agg(
             _rows().alias("visit_count"),
-            fx.mean(cost).alias("avg_cost"),
-            fx.total(cost).alias("total_cost"),
+            fx.double_mean(cost).alias("avg_cost"),
+            fx.double_total(cost).alias("total_cost"),
             _hits(F.col("encounter_class") == EMERGENCY_CLASS).alias("emergency_count"),
         )
         .orderBy(F.desc("visit_count"), "encounter_class")
@@ -279,9 +291,11 @@ def encounter_by_class(tables: Tables) -> DataFrame:
 
 @mart
 def encounters_by_month(tables: Tables) -> DataFrame:
-    cost = fx.exact(F.col("total_cost"))
     names = ("encounter_count", "total_cost", "avg_cost")
-    return _by_month(tables["fact_encounters"], "period_start", cost, names)
+    return _by_month(
+        tables["fact_encounters"], "period_start", F.col("total_cost"), names,
+        fx.double_total, fx.double_mean,
+    )
 
 
 # -- medications ------------------------------------------------------------------
@@ -327,7 +341,7 @@ def top_observations(tables: Tables) -> DataFrame:
         )
         .agg(
             _rows().alias("obs_count"),
-            fx.mean(fx.exact(F.col("value"))).alias("avg_value"),
+            fx.double_mean(F.col("value")).alias("avg_value"),
             _hits(F.col("is_abnormal")).alias("abnormal_count"),
             fx.share(F.col("is_abnormal")).alias("abnormal_pct"),
         )

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carebasin import schemas
-from carebasin.operators.conform import align_by_name
+from carebasin.operators.conform import align_by_name, unfit_values
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -28,9 +29,18 @@ def create_tables(
             spark.catalog.createTable(full, source="parquet", schema=schema)
 
 
-def load_table(df: DataFrame, table: str) -> None:
-    """Append a frame to a table, matching columns by name in any case."""
-    align_by_name(df, df.sparkSession.table(table).schema).write.insertInto(table)
+def load_table(df: DataFrame, table: str, strict: bool = False) -> None:
+    """Append a frame to a table, matching columns by name in any case.
+
+    Values that do not fit become NULL; ``strict`` counts them first and refuses
+    the load if there are any. ``conform.unfit_values`` counts them per row.
+    """
+    schema = df.sparkSession.table(table).schema
+    if strict:
+        lost = df.agg(F.sum(unfit_values(df, schema))).first()[0] or 0
+        if lost:
+            raise ValueError(f"{lost} values do not fit the columns of {table}")
+    align_by_name(df, schema).write.insertInto(table)
 
 
 def list_tables(spark: SparkSession, database: str, like: str = "%") -> list[str]:
@@ -42,6 +52,12 @@ def list_databases(spark: SparkSession, like: str = "%") -> list[str]:
     return sorted(d.name for d in spark.catalog.listDatabases(_pattern(like)))
 
 
+def drop_database(spark: SparkSession, name: str) -> None:
+    """Drop a database with its tables; the default database becomes current."""
+    spark.catalog.setCurrentDatabase("default")
+    spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
+
+
 def truncate_tables(spark: SparkSession, database: str, names: Iterable[str] | None = None) -> None:
     """Empty the tables before a full reload. Feeds need a new checkpoint then."""
     for name in names or list_tables(spark, database):

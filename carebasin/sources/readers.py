@@ -60,15 +60,23 @@ def open_lake(
     spark: SparkSession,
     claims: str | None = None,
     clinical: str | None = None,
-    tables: Iterable[str] | None = None,
+    tables: Iterable[str] | None = None, whole: bool = False,
 ) -> dict[str, DataFrame]:
-    """The clean tables below the claims and clinical folders, by table name."""
+    """The clean tables below the claims and clinical folders, by table name.
+
+    They have the warehouse's columns, or with ``whole`` all that the lake
+    holds: the warehouse's first, then the others.
+    """
     found = {}
     for root, layout in ((claims, schemas.CLAIMS_LAKE), (clinical, schemas.CLINICAL_LAKE)):
         for name, (prefix, _) in layout.items():
             if root is not None and (tables is None or name in tables):
                 path = f"{root.rstrip('/')}/{prefix}"
-                found[name] = read_table(spark, path, schemas.WAREHOUSE[name])
+                schema = schemas.WAREHOUSE[name]
+                if whole:
+                    held = spark.read.parquet(path).schema
+                    schema = T.StructType([*schema, *(f for f in held if f.name not in schema.names)])
+                found[name] = read_table(spark, path, schema)
     return found
 
 

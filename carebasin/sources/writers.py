@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from carebasin.session import fresh_folder
 from carebasin.sources.readers import read_table
@@ -36,12 +38,52 @@ def write_table(
     writer.parquet(path)
 
 
+_kept: ContextVar[list[str] | None] = ContextVar("_kept", default=None)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Spark's file system, wherever it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def matching_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern, through Spark's file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+    return [status.getPath().toString() for status in found or []]
+
+
+def rename_folder(spark: SparkSession, old: str, new: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(old)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).rename(place, hadoop.Path(new)):
+        raise OSError(f"{old} could not be renamed to {new}")
+
+
+@contextmanager
+def stages_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove the folders staged inside, after success; a failed job keeps them
+    for a retry or a look. Frames that read them must not outlive the block."""
+    token = _kept.set([])
+    try:
+        yield
+        for path in _kept.get():
+            remove_folder(spark, path)
+    finally:
+        _kept.reset(token)
+
+
 def stage(df: DataFrame, label: str = "stage", partition_by: Sequence[str] = ()) -> DataFrame:
     """Write a frame once to the shared folder and read it back.
 
     Later steps read only the columns and partitions they need, and a lost
-    executor does not bring back the work before this point.
+    executor does not bring back the work before this point. Rows of a
+    partitioned stage are gathered by partition first: the number of files
+    follows the size of the data, not tasks times partitions.
     """
     path = fresh_folder(df.sparkSession, label)
-    write_table(df, path, partition_by, rebalance=False)
+    write_table(df, path, partition_by, rebalance=bool(partition_by))
+    if _kept.get() is not None:
+        _kept.get().append(path)
     return read_table(df.sparkSession, path, df.schema)
