@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from carebasin import schemas
+from carebasin.operators import conform
 from carebasin.operators.profile import row_counts
 from carebasin.plans import claims, clinical
 from carebasin.session import fresh_folder
@@ -81,28 +84,71 @@ ENTITIES = (
 
 # -- whole jobs ---------------------------------------------------------------------
 
-@check(" UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM ({expected.TABLE_SQL[t]}) t"
-    for t in schemas.CLAIMS_LAKE
-))
+
+def _columns(name: str, kind: type) -> list[str]:
+    return [f.name for f in schemas.WAREHOUSE[name] if isinstance(f.dataType, kind)]
+
+
+def contents_sql(name: str) -> str:
+    """Row count, a hash of all text columns and the sum of all amounts in cents."""
+    text = ", ".join(f"coalesce({c}, '~')" for c in _columns(name, T.StringType))
+    cents = " + ".join(f"coalesce(CAST(round({c} * 100) AS BIGINT), 0)" for c in _columns(name, T.DecimalType)) or "0"
+    return f"""SELECT '{name}' AS table_name, count(*) AS row_count,
+        CAST(sum(('0x' || substr(md5(concat_ws('|', {text})), 1, 8))::BIGINT) AS BIGINT) AS text_hash,
+        CAST(sum({cents}) AS BIGINT) AS cents FROM ({expected.TABLE_SQL[name]}) t"""
+
+
+def contents(tables):
+    frames = []
+    for name, df in tables.items():
+        text = F.concat_ws("|", *[F.coalesce(c, F.lit("~")) for c in _columns(name, T.StringType)])
+        cents = F.lit(0)
+        for c in _columns(name, T.DecimalType):
+            cents = cents + F.coalesce(F.round(F.col(c) * 100).cast("bigint"), F.lit(0))
+        frames.append(df.agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.sum(F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")).alias("text_hash"),
+            F.sum(cents).cast("bigint").alias("cents"),
+        ).select(F.lit(name).alias("table_name"), "*"))
+    return conform.stack(*frames)
+
+
+@check(" UNION ALL ".join(map(contents_sql, schemas.CLAIMS_LAKE)))
 def claims_job(spark, sf_dir):
     """Landed files to five written tables."""
     for entity in ENTITIES:
         landing = landed(spark, sf_dir, entity)
     lake = fresh_folder(spark, "claims-lake")
     claims.run(spark, landing, lake, _as_of())
-    return row_counts(readers.open_lake(spark, claims=lake))
+    return contents(readers.open_lake(spark, claims=lake))
 
 
-@check(" UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM ({expected.TABLE_SQL[t]}) t"
-    for t in schemas.CLINICAL_LAKE
-))
+@check(" UNION ALL ".join(map(contents_sql, schemas.CLINICAL_LAKE)))
 def clinical_job(spark, sf_dir):
     """Bundle files to nine written tables."""
     landing, lake = landed_bundles(spark, sf_dir), fresh_folder(spark, "clinical-lake")
     clinical.run(spark, landing, lake, _as_of(), one_per_line=True)
-    return row_counts(readers.open_lake(spark, clinical=lake))
+    return contents(readers.open_lake(spark, clinical=lake))
+
+
+@check(expected.table_sql("fact_claims"))
+def all_lake_columns(spark, sf_dir):
+    """All columns that the lake holds, not only the warehouse's."""
+    lake = fresh_folder(spark, "claims-lake")
+    prefix, partition_by = schemas.CLAIMS_LAKE["fact_claims"]
+    write_table(build(spark, sf_dir, "fact_claims"), f"{lake}/{prefix}", partition_by)
+    return readers.open_lake(spark, claims=lake, tables=["fact_claims"], whole=True)["fact_claims"]
+
+
+@check(expected.FLAT_ENCOUNTER)
+def multi_line_bundles(spark, sf_dir):
+    """Bundles in files of several lines each, read in the default form."""
+    landing = fresh_folder(spark, "bundles")
+    text = standins.bundle_text(standins.bundles(spark, sf_dir))
+    spread = text.select(F.regexp_replace("value", ",\"type\"", ",\n  \"type\"").alias("value"), F.pmod(F.xxhash64("value"), F.lit(16)).alias("file"))
+    files = spread.groupBy("file").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("value"), ",\n"), F.lit("\n]")).alias("value"))
+    files.write.partitionBy("file").text(f"{landing}/fhir")
+    return clinical.flatten_encounters(clinical.stage_resources(readers.read_bundles(spark, landing)))
 
 
 # -- catalog ---------------------------------------------------------------------------
@@ -132,6 +178,12 @@ def catalog_tables(spark, sf_dir):
         return row_counts({n: spark.table(f"{database}.{n}") for n in shown})
     finally:
         spark.catalog.setCurrentDatabase(current)
+        atexit.register(_drop, spark, database)  # the frame that is returned still reads it
+
+
+def _drop(spark, database: str) -> None:
+    if spark.getActiveSession() is not None:
+        catalog.drop_database(spark, database)
 
 
 # -- feeds --------------------------------------------------------------------------------
@@ -156,8 +208,11 @@ def _feed(spark, sf_dir, files_per_batch=None) -> feeds.Feed:
 
 @check(f"SELECT * FROM ({expected.table_sql('fact_encounters')}) t")
 def stream_file_load(spark, sf_dir):
-    """Each arrived file is loaded once, over three runs of one checkpoint."""
-    return feeds.loaded_rows(spark, _feed(spark, sf_dir, files_per_batch=2))
+    """Each arrived file is loaded once, over three runs of one checkpoint; the
+    batches are compacted in the end."""
+    feed = _feed(spark, sf_dir, files_per_batch=2)
+    feeds.compact_feed(spark, feed)
+    return feeds.loaded_rows(spark, feed)
 
 
 @check("SELECT 'fact_encounters' AS table_name, count(*)::BIGINT AS row_count FROM events")
@@ -166,6 +221,23 @@ def load_history(spark, sf_dir):
     return history.groupBy("table_name").agg(F.sum("row_count").alias("row_count"))
 
 
-@check()
+@check("SELECT 'fact_encounters' AS table_name, count(*)::BIGINT AS row_count, 0::BIGINT AS lost_values FROM events")
 def feed_status(spark, sf_dir):
-    return feeds.feed_status(spark, _feed(spark, sf_dir).ledger)
+    status = feeds.feed_status(spark, _feed(spark, sf_dir).ledger)
+    return status.where("files > 0 AND last_load_time IS NOT NULL AND last_batch >= 1").select(
+        "table_name", "row_count", "lost_values"
+    )
+
+
+@check(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM ({expected.TABLE_SQL[t]}) t" for t in expected.TABLE_SQL
+))
+def all_feeds(spark, sf_dir):
+    """All fourteen tables, from the lake through their feeds."""
+    lake, base = fresh_folder(spark, "lake"), fresh_folder(spark, "feeds")
+    found = feeds.lake_feeds(f"{lake}/claims", f"{lake}/clinical", f"{base}/warehouse", f"{base}/checkpoints")
+    for name, feed in found.items():
+        _, partition_by = {**schemas.CLAIMS_LAKE, **schemas.CLINICAL_LAKE}[name]
+        write_table(Lake(spark, sf_dir)[name], feed.source, partition_by)
+    feeds.run_feeds(spark, found.values())
+    return row_counts({name: feeds.loaded_rows(spark, feed) for name, feed in found.items()})

@@ -276,9 +276,19 @@ def clean_amounts(spark, sf_dir):
     return money.clean_amounts(_balances(spark, sf_dir), ["c_acctbal"])
 
 
-@check()
+@check("""
+    SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 0 ELSE c_acctbal END AS c_acctbal,
+      CAST(c_acctbal < 0 AS INTEGER) AS is_negative_c_acctbal, 1 AS within_error FROM customer
+""")
 def clean_amounts_approximate(spark, sf_dir):
-    return money.clean_amounts(_balances(spark, sf_dir), ["c_acctbal"], method="approx")
+    """With the sketch, the share of flagged rows lies within its rank error."""
+    cleaned = money.clean_amounts(_balances(spark, sf_dir), ["c_acctbal"], method="approx")
+    shares = cleaned.agg(
+        F.avg(F.col("is_high_cost").cast("double")).alias("flagged"), F.count(F.lit(1)).alias("n")
+    )
+    close = F.abs(F.col("flagged") - 0.01) <= 1 / 10_000 + 2 / F.col("n")
+    within = shares.select(close.cast("int").alias("within_error"))
+    return cleaned.drop("is_high_cost").crossJoin(F.broadcast(within))  # one row
 
 
 @check("SELECT quantile_disc(l_extendedprice, 0.99) AS threshold FROM lineitem")
@@ -289,10 +299,86 @@ def exact_p99(spark, sf_dir):
     return exact_quantile(prices, "price", 0.99)
 
 
-@check()
+@check("SELECT 1 AS within_error, count(*) AS n FROM lineitem")
 def approximate_p99(spark, sf_dir):
+    """The rank of the approximate value lies within the error."""
     prices = given(spark, sf_dir, "lineitem").select("l_extendedprice")
-    return approximate_quantile(prices, "l_extendedprice", 0.99)
+    threshold = approximate_quantile(prices, "l_extendedprice", 0.99).scalar()
+    ranks = prices.agg(
+        F.avg((F.col("l_extendedprice") < threshold).cast("double")).alias("below"),
+        F.avg((F.col("l_extendedprice") <= threshold).cast("double")).alias("reached"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    error = 1 / 10_000 + 1 / F.col("n")
+    close = (F.col("below") - error <= 0.99) & (F.col("reached") + error >= 0.99)
+    return ranks.select(close.cast("int").alias("within_error"), "n")
+
+
+@check("""
+    SELECT quantile_disc(k, 0.01) AS low, quantile_disc(k, 0.99) AS high
+    FROM (SELECT CASE o_orderkey % 3 WHEN 0 THEN -9223372036854775808 WHEN 1 THEN 9223372036854775807
+      ELSE o_orderkey END AS k FROM orders)
+""")
+def exact_quantile_of_any_bigint(spark, sf_dir):
+    part = F.col("o_orderkey") % 3
+    ends = F.when(part == 0, F.lit(-(2**63))).when(part == 1, F.lit(2**63 - 1)).otherwise(F.col("o_orderkey"))
+    keys = given(spark, sf_dir, "orders").select(ends.alias("k"))
+    return spark.range(1).select(
+        exact_quantile(keys, "k", 0.01).scalar().alias("low"), exact_quantile(keys, "k", 0.99).scalar().alias("high")
+    )
+
+
+@check("""
+    SELECT o_orderpriority, kind, CASE kind WHEN 'plain' THEN round(total, 7) ELSE total END AS total,
+      CASE kind WHEN 'plain' THEN round(mean, 7) ELSE mean END AS mean, n FROM (
+      SELECT o_orderpriority, kind, count(*) AS n,
+        CASE WHEN kind IN ('tiny', 'plain') THEN CAST(sum(CAST(CASE kind WHEN 'tiny' THEN 0.0000004
+          ELSE o_totalprice END AS DECIMAL(38,7))) AS DOUBLE) ELSE sum(v) END AS total,
+        CASE kind WHEN 'tiny' THEN 0.0000004::DOUBLE WHEN 'plain' THEN
+          CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / 100 / count(*) ELSE avg(v) END AS mean
+      FROM (SELECT *, CASE kind WHEN 'nan' THEN 'NaN'::DOUBLE WHEN 'infinite' THEN 'Infinity'::DOUBLE
+          WHEN 'huge' THEN 1e18::DOUBLE WHEN 'tiny' THEN 0.0000004::DOUBLE ELSE o_totalprice END AS v
+        FROM (SELECT *, ['nan', 'infinite', 'huge', 'tiny', 'plain'][o_custkey % 5 + 1] AS kind FROM orders))
+      GROUP BY 1, 2)
+""")
+def sums_of_any_doubles(spark, sf_dir):
+    """Totals and means keep NaN, infinite, very large and very small values."""
+    kinds = ["nan", "infinite", "huge", "tiny", "plain"]
+    values = [F.lit(float("nan")), F.lit(float("inf")), F.lit(1e18), F.lit(4e-7), F.col("o_totalprice")]
+    at = (F.col("o_custkey") % 5).cast("int")
+    orders = given(spark, sf_dir, "orders").select(
+        "o_orderpriority", F.get(F.array(*map(F.lit, kinds)), at).alias("kind"), F.get(F.array(*values), at).alias("v")
+    )
+    return orders.groupBy("o_orderpriority", "kind").agg(
+        fx.double_total(F.col("v"), 7).alias("total"), fx.double_mean(F.col("v"), 7).alias("mean"),
+        F.count(F.lit(1)).alias("n"),
+    )
+
+
+@check("""
+    SELECT o_orderstatus, count(*) FILTER (WHERE o_custkey % 5 = 0) + count(*) FILTER (WHERE o_custkey % 7 = 0) AS lost,
+      count(*) FILTER (WHERE o_custkey % 5 <> 0) AS whole FROM orders GROUP BY 1
+""")
+def unfit_values(spark, sf_dir):
+    """Values that a load makes NULL are counted."""
+    custkey = F.col("o_custkey")
+    arrived = given(spark, sf_dir, "orders").select(
+        "o_orderstatus", F.concat(custkey, F.when(custkey % 5 == 0, "x").otherwise("")).alias("WHOLE"),
+        F.when(custkey % 7 == 0, F.lit(12345678901.0)).otherwise(F.lit(1.5)).alias("amount"),
+    )
+    target = T.StructType.fromDDL("o_orderstatus string, whole int, amount decimal(12,2)")
+    lost = arrived.select("o_orderstatus", conform.unfit_values(arrived, target).alias("n"))
+    loaded = conform.align_by_name(arrived, target).groupBy("o_orderstatus").agg(F.count("whole").alias("whole"))
+    return lost.groupBy("o_orderstatus").agg(F.sum("n").cast("long").alias("lost")).join(loaded, "o_orderstatus")
+
+
+@check("""
+    SELECT o_orderkey, CAST(trunc(date_diff('day', CAST(o_orderdate AS DATE), CAST(now() AT TIME ZONE 'UTC' AS DATE))
+      / CAST(365.25 AS DOUBLE)) AS INTEGER) AS age FROM orders
+""")
+def age_today(spark, sf_dir):
+    """Without a date, ages count up to the current one."""
+    return given(spark, sf_dir, "orders").select("o_orderkey", fx.age_in_years(F.to_date("o_orderdate")).alias("age"))
 
 
 # -- scores and flags ---------------------------------------------------------------------
