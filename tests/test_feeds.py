@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from carebasin import schemas
 from carebasin.plans import marts
 from carebasin.sources import catalog
-from carebasin.sources.writers import write_table
+from carebasin.sources.writers import matching_folders, rename_folder, write_table
 from carebasin.streaming import feeds
 
 PROVIDERS = schemas.WAREHOUSE["dim_provider_cms"]
@@ -132,3 +132,77 @@ def test_load_query_and_truncate(spark, database):
     assert marts.run_query(spark, "sample_fact_claims").count() == 0
     catalog.truncate_tables(spark, database, ["dim_provider_cms"])
     assert spark.table("dim_provider_cms").count() == 0
+
+
+def test_unfit_values_are_counted_or_refused(spark, feed):
+    schema = schemas.T.StructType.fromDDL("provider_key string, provider_id string, state_code string")
+    text = spark.createDataFrame([("a", "1", "x"), ("b", "2", "y")], schema)
+    text.write.parquet(feed.source)
+    narrow = schemas.T.StructType.fromDDL("provider_key string, provider_id int, state_code int")
+    counted = replace(feed, schema=narrow, source_schema=schema)
+    feeds.run_feed(spark, counted)
+    assert feeds.feed_status(spark, feed.ledger).first().lost_values == 2
+    refused = replace(counted, checkpoint=feed.checkpoint + "2", strict=True)
+    with pytest.raises(feeds.FeedErrors) as found:
+        feeds.run_feeds(spark, [refused])
+    assert "2 values do not fit" in str(found.value)
+    assert feeds.loaded_rows(spark, counted).count() == 2
+
+
+def test_all_feeds_are_awaited_when_one_fails(spark, tmp_path):
+    names = ("dim_provider_cms", "dim_provider_ehr")
+    found = feeds.lake_feeds(*(str(tmp_path / n) for n in ("claims", "clinical", "warehouse", "checkpoints")))
+    good, bad = (found[n] for n in names)
+    write_table(providers(spark, 1), good.source, ["state_code"])
+    with pytest.raises(feeds.FeedErrors) as error:
+        feeds.run_feeds(spark, [bad, good])  # the folder of the first is absent
+    assert set(error.value.failures) == {"dim_provider_ehr"}
+    assert feeds.loaded_rows(spark, good).count() == 1
+
+
+def test_compaction_keeps_rows_and_the_newest_batch(spark, feed):
+    small = replace(feed, files_per_batch=1)
+    for k in range(4):
+        write_table(providers(spark, k, k + 10), feed.source, mode="append")
+        feeds.run_feed(spark, small)
+    rows = sorted(map(str, feeds.loaded_rows(spark, feed).collect()))
+    batches = lambda: sorted(p.rsplit("=", 1)[1] for p in matching_folders(spark, f"{feed.target}/load_run=*/load_batch=*"))
+    before = batches()
+    assert len(before) >= 4
+    feeds.compact_feed(spark, feed)
+    newest = max(map(int, before))
+    assert batches() == sorted([f"0-{newest - 1}", str(newest)])
+    assert sorted(map(str, feeds.loaded_rows(spark, feed).collect())) == rows
+    # what an interrupted compaction left is removed by the next one
+    left = spark.read.parquet(f"{feed.target}/load_run={feed.load_run}/load_batch=0-{newest - 1}")
+    left.limit(1).write.parquet(f"{feed.target}/load_run={feed.load_run}/load_batch=0")
+    feeds.compact_feed(spark, feed)
+    assert sorted(map(str, feeds.loaded_rows(spark, feed).collect())) == rows
+
+
+def test_history_reads_only_the_days_it_needs(spark, feed):
+    write_table(providers(spark, 1), feed.source, ["state_code"])
+    feeds.run_feed(spark, feed)
+    plan = feeds.load_history(spark, feed.ledger)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(load_date" in plan
+    later = F.current_timestamp() + F.expr("INTERVAL 3 DAYS")
+    assert feeds.load_history(spark, feed.ledger, since=later).inputFiles() is not None
+
+
+def test_a_batch_replayed_on_another_day_is_entered_once(spark, feed):
+    write_table(providers(spark, 1, 2), feed.source, ["state_code"])
+    feeds.run_feed(spark, feed)
+    entry = matching_folders(spark, f"{feed.ledger}/table_name=*/load_date=*")[0]
+    rename_folder(spark, entry, entry.rsplit("=", 1)[0] + "=2001-01-01")
+    batch = spark.read.schema(feed.schema).parquet(feed.source).select("*", feeds._source_file())
+    feeds._load_batch(feed, batch, 0)
+    assert feeds.feed_status(spark, feed.ledger).first().row_count == 2
+
+
+def test_strict_load_of_a_catalog_table(spark, database):
+    schema = "patient_id string, risk_score string"
+    rows = spark.createDataFrame([("p", "high"), ("q", "3")], schema)
+    with pytest.raises(ValueError, match="1 values do not fit"):
+        catalog.load_table(rows, "dim_patient_cms", strict=True)
+    catalog.load_table(rows, "dim_patient_cms")
+    assert marts.run_sql(spark, "SELECT max(risk_score) AS m FROM dim_patient_cms").first().m == 3
