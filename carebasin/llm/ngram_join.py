@@ -47,12 +47,13 @@ WORDS = 5
 #: Similarity as a fraction: 75 / 100.
 SHARE, WHOLE = 75, 100
 #: Grams whose counts order the index; 8 bytes each, from the driver to all tasks.
-HEAVY = 1 << 18
+HEAVY = 1 << 20
 #: Grams counted together in a task before repeats among them are reported.
-COUNTED = 1 << 22
+COUNTED = 3 << 21
 #: Repeats in such a count from which a gram is reported.
-REPEATED = 4
-#: Lists up to this length are compared pair by pair.
+REPEATED = 2
+#: Lists up to this length are compared pair by pair; what rounds of pivots leave
+#: of a list, up to twice as many after each round.
 SHORT = 16
 #: Rounds of pivots; what is left after them is compared pair by pair.
 ROUNDS = 8
@@ -109,8 +110,12 @@ def sets(batches, order: Order, k: int):
 
 
 def heavy_grams(docs: DataFrame, k: int) -> np.ndarray:
+    """The most repeated grams, rarest first. Tasks count the grams of different
+    sets, a few millions together, and report those that they see again."""
+    plain = Order(np.zeros(0, np.uint64))
+
     def repeats(batches):
-        held, size = [], 0
+        held, seen, size = [], set(), 0
 
         def report():
             unique, counts = np.unique(np.concatenate(held), return_counts=True)
@@ -119,13 +124,15 @@ def heavy_grams(docs: DataFrame, k: int) -> np.ndarray:
                 [pa.array(unique[often].view(np.int64)), pa.array(counts[often].astype(np.int64))], ["gram", "n"]
             )
 
-        for texts in chunks(batches):
-            values, _ = grams(texts, k)
-            held.append(values)
-            size += len(values)
+        for _, found in sets(batches, plain, k):
+            for _, id_, unique in found:
+                if id_ not in seen:
+                    seen.add(id_)
+                    held.append(unique)
+                    size += len(unique)
             if size >= COUNTED:
                 yield report()
-                held, size = [], 0
+                held, seen, size = [], set(), 0
         if held:
             yield report()
 
@@ -171,7 +178,7 @@ _ROW = pa.schema([
 ])
 
 
-def list_rows(index: DataFrame, short: int | None = SHORT) -> DataFrame:
+def list_rows(index: DataFrame, short: int | None) -> DataFrame:
     """Walk the lists: pairs of short lists that positions and sizes allow, and
     the rows of long ones (all lists count as short if ``short`` is None). A list
     is streamed; only its head of ``short`` rows is held."""
@@ -290,7 +297,7 @@ LINKED = f"{WHOLE} * both >= {SHARE} * (n + m - both)"
 def pivot_rounds(lists: DataFrame, every: DataFrame) -> tuple[DataFrame | None, list[DataFrame]]:
     """Cells ``cell, id`` of all rounds, and pairs that are left to compare."""
     cells, pairs = [], []
-    for _ in range(ROUNDS):
+    for turn in range(ROUNDS):
         if lists.isEmpty():
             break
         # the same sets win in all lists of a family, so that few pairs are compared
@@ -303,7 +310,7 @@ def pivot_rounds(lists: DataFrame, every: DataFrame) -> tuple[DataFrame | None,
         cells.append(near.select(F.col("a").alias("cell"), F.col("b").alias("id")).unionByName(near.select(F.col("a").alias("cell"), F.col("a").alias("id"))))
         settled = seen.where(LINKED).select(F.col("a").alias("pivot"), F.col("b").alias("id"))
         left = against.join(settled, ["pivot", "id"], "left_anti").select("key", "id", "n", "at")
-        rows = stage(list_rows(left), "join-left")
+        rows = stage(list_rows(left, SHORT << (turn + 1)), "join-left")
         pairs.append(rows.where("NOT long_list").select("a", "b"))
         lists = rows.where("long_list").select("key", F.col("a").alias("id"), "n", "at")
     else:
@@ -414,17 +421,18 @@ def labelled(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame]:
 
     kind = dict(docs.dtypes)["doc_id"]
     slim = stage(text.mapInArrow(measure, f"doc_id {kind}, key long, id long, n long"), "join-docs")
-    rows = stage(list_rows(postings(docs, order, k)), "join-rows")
+    rows = stage(list_rows(postings(docs, order, k), SHORT), "join-rows")
     pairs = rows.where("NOT long_list").select("a", "b").distinct()
     lists = rows.where("long_list").select("key", F.col("a").alias("id"), "n", "at")
-    named = rows.select(F.col("a").alias("id")).unionByName(rows.where("b IS NOT NULL").select(F.col("b").alias("id")))
-    every = stage(whole_sets(docs, order, k, interesting(named)), "join-sets")
+    # the sets of long lists are few and used often, those of pairs many and used
+    # once: the former are written, the latter read again and shuffled by id once
+    listed = stage(whole_sets(docs, order, k, interesting(lists.select("id"))), "join-listed")
     copies = stage(
         slim.where("id IS NOT NULL").groupBy("id").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("weight")),
         "join-copies",
     )
 
-    cells, more = pivot_rounds(lists, every)
+    cells, more = pivot_rounds(lists, listed)
     for extra in more:
         pairs = pairs.unionByName(extra)
     pairs = pairs.distinct()
@@ -434,6 +442,9 @@ def labelled(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame]:
         right = own.select(F.col("id").alias("b"), F.col("cells").alias("cb"))
         pairs = pairs.join(left, "a", "left").join(right, "b", "left")
         pairs = pairs.where(F.coalesce(~F.arrays_overlap("ca", "cb"), F.lit(True)))
+    pairs = stage(pairs.select("a", "b"), "join-pairs")
+    named = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    every = whole_sets(docs, order, k, interesting(named))
     linked = stage(overlaps(pairs, every).where(LINKED).select("a", "b"), "join-linked")
     weights = copies.select("id", "weight")
     half = linked.select(F.col("a").alias("id"), F.col("b").alias("other"))
@@ -441,7 +452,7 @@ def labelled(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame]:
     counts = half.join(weights.withColumnRenamed("id", "other"), "other").select("id", F.col("weight").alias("links"))
     edges = linked
     if cells is not None:
-        answers = stage(answer_cells(cells, every, weights), "join-answers")
+        answers = stage(answer_cells(cells, listed, weights), "join-answers")
         edges = edges.unionByName(answers.where("b IS NOT NULL").select("a", "b"))
         counts = counts.unionByName(answers.where("b IS NULL").select(F.col("a").alias("id"), "links"))
     labels = connected(edges)
