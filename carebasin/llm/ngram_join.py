@@ -14,7 +14,7 @@ Set relations skip work:
   each list is entered at the first set of a fitting size.
 * Answers are derived: in a list longer than ``SHORT``, one set (the pivot) is
   compared with all others. Sets at a distance of up to 1/2 form the pivot's
-  cell, in which all pairs are answered; a set's overlaps are those of a highly
+  cell, in which all pairs are answered (a list inside it is done); a set's overlaps are those of a highly
   similar set, less the lists of the grams it lacks, plus those of the grams it
   has instead. Sets farther than 1/4 go on to the next round with another
   pivot. By the triangle inequality no linked pair is lost: if one of two linked
@@ -306,10 +306,15 @@ def pivot_rounds(lists: DataFrame, every: DataFrame) -> tuple[DataFrame | None,
         against = stage(lists.join(pivots, "key").where("id <> pivot"), "join-against")
         pairs_ = against.where("2 * least(n, pn) >= greatest(n, pn)").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
         seen = stage(overlaps(pairs_, every), "join-compared")
-        near = seen.where("2 * both >= n + m - both")
+        inside = "2 * both >= n + m - both"
+        near = seen.where(inside)
         cells.append(near.select(F.col("a").alias("cell"), F.col("b").alias("id")).unionByName(near.select(F.col("a").alias("cell"), F.col("a").alias("id"))))
-        settled = seen.where(LINKED).select(F.col("a").alias("pivot"), F.col("b").alias("id"))
-        left = against.join(settled, ["pivot", "id"], "left_anti").select("key", "id", "n", "at")
+        found = seen.select(F.col("a").alias("pivot"), F.col("b").alias("id"), F.expr(LINKED).alias("settled"), F.expr(inside).alias("inside"))
+        marked = against.join(found, ["pivot", "id"], "left")
+        marked = stage(marked.where(~F.coalesce("settled", F.lit(False))), "join-marked")
+        # all pairs of a cell are answered there: a list that lies inside it is done
+        going = stage(marked.where(~F.coalesce("inside", F.lit(False))).select("key").distinct(), "join-going")
+        left = marked.join(going, "key", "left_semi").select("key", "id", "n", "at")
         rows = stage(list_rows(left, SHORT << (turn + 1)), "join-left")
         pairs.append(rows.where("NOT long_list").select("a", "b"))
         lists = rows.where("long_list").select("key", F.col("a").alias("id"), "n", "at")
