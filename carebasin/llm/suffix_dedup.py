@@ -48,7 +48,7 @@ PLACES = LENGTH - GRAM + 1
 #: Bytes before a token that a string through it can reach.
 BEFORE = PLACES - 1
 #: Bytes hashed at once (places are packed into 24 bits); longer texts in pieces.
-PIECE = 8 << 20
+PIECE = 1 << 20
 #: Texts, and suffixes of each, that the splitters are sampled from.
 SAMPLE, SAMPLE_EACH = 500, 100
 #: Suffixes in a bucket, and sorted at once.
@@ -123,7 +123,7 @@ def repeated_grams(texts: DataFrame) -> DataFrame:
 
     def emit(batches):
         seen = Seen()
-        for piece in chunks(batches):
+        for piece in chunks(batches, limit=PIECE):
             units = piece.batch.column("unit").to_pylist()
             at, gram = tokens(piece.data, piece.offsets)
             row = np.searchsorted(piece.offsets, at, "right") - 1
@@ -201,7 +201,7 @@ def sampled_splitters(texts: DataFrame, firsts: DataFrame, buckets: int) -> np.n
 
     def heads(batches):
         seen = Seen()
-        for piece in chunks(batches):
+        for piece in chunks(batches, limit=PIECE):
             at, _ = tokens(piece.data, piece.offsets)
             row = np.searchsorted(piece.offsets, at, "right") - 1
             for k in seen.fresh(piece.batch.column("unit").to_pylist()):
@@ -246,7 +246,7 @@ def contexts(units: DataFrame, splitters: np.ndarray, kind: str) -> DataFrame:
                 u, b, e = zip(*spans)
                 null = lambda t: pa.nulls(len(u), t)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array((np.arange(len(u)) % 997).astype(np.int32)), null(pa.int64()), null(pa.bool_()), null(id_type), pa.array(u, pa.int64()),
+                    pa.array(((np.asarray(u) ^ np.asarray(b)) % 997).astype(np.int32)), null(pa.int64()), null(pa.bool_()), null(id_type), pa.array(u, pa.int64()),
                     null(pa.int64()), null(pa.int32()), null(pa.binary()), pa.array(b, pa.int64()), pa.array(e, pa.int64()),
                 ], NAMES)
             held.clear()
