@@ -45,9 +45,15 @@ TOP = 1 << 17
 LONG = 48
 #: Scores of words kept in a task.
 CACHE = 500_000
-MARK = "▁".encode()
+#: The vocabulary's word mark, and the byte that stands for it here: no UTF-8
+#: text holds that byte.
+PIECE_MARK, MARK = "▁", b"\xff"
+#: Slots of the piece table, a power of two.
+SLOT_BITS = 19
 END = 0  # the hash of the end token
 
+_STEP, _SPREAD, _ALL = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95, (1 << 64) - 1
+
 
 @cache
 def vocabulary(path: str) -> tuple[tuple[bytes, ...], tuple[float, ...]]:
@@ -56,13 +62,14 @@ def vocabulary(path: str) -> tuple[tuple[bytes, ...], tuple[float, ...]]:
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    weights: dict[bytes, float] = {}
     least = 1.0 / (model.get_piece_size() + SHIFT)
-    for k in range(256):
+    weights: dict[bytes, float] = {}
+    for k in range(256):  # with the mark's byte
         weights[bytes([k])] = least
     for k in range(model.get_piece_size()):
         if not (model.is_control(k) or model.is_unknown(k) or model.is_byte(k)):
-            weights[model.id_to_piece(k).encode()] = 1.0 / (max(0.0, -model.get_score(k)) + SHIFT)
+            parts = map(str.encode, model.id_to_piece(k).split(PIECE_MARK))
+            weights[MARK.join(parts)] = 1.0 / (max(0.0, -model.get_score(k)) + SHIFT)
     total = sum(weights.values())
     pieces = tuple(weights)
     return pieces, tuple(float(np.log(weights[p] / total)) for p in pieces)
@@ -82,6 +89,32 @@ class Lattice:
         self.logs = np.asarray(logs)
         self.place = {p: k for k, p in enumerate(pieces)}
         self.longest = max(map(len, pieces))
+        # an open table from 64-bit hashes of pieces to their numbers
+        size = 1 << SLOT_BITS
+        self.keys, self.numbers = np.zeros(size, np.uint64), np.full(size, -1, np.int32)
+        for number, piece in enumerate(pieces):
+            h = 0
+            for byte in piece:
+                h = (h + byte + 1) * _STEP & _ALL
+            slot = (h * _SPREAD & _ALL) >> 64 - SLOT_BITS
+            while self.numbers[slot] >= 0:
+                slot = (slot + 1) % size
+            self.keys[slot], self.numbers[slot] = h, number
+
+    def lookup(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of the pieces with these hashes; -1 for none."""
+        place = ((hashes * np.uint64(_SPREAD)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        held = self.keys[place]
+        out = np.where(held == hashes, self.numbers[place], np.int32(-1))
+        # few meet a slot that holds another piece and go on to the next one
+        rows = np.flatnonzero((held != hashes) & (held != 0))
+        while len(rows):
+            place[rows] = (place[rows] + 1) & ((1 << SLOT_BITS) - 1)
+            held = self.keys[place[rows]]
+            hit = held == hashes[rows]
+            out[rows[hit]] = self.numbers[place[rows[hit]]]
+            rows = rows[~hit & (held != 0)]
+        return out
 
     def edges(self, word: bytes):
         """(begin, end, piece) of all pieces inside a word, by end."""
@@ -107,24 +140,27 @@ class Lattice:
         return reach
 
     def _batch(self, group: list[bytes]):
-        """Piece numbers of all spans of words of one length; -1 for none."""
-        size, get = len(group[0]), self.place.get
+        """By begin and end, the words of one length that have a piece there, and
+        the pieces' numbers."""
+        size = len(group[0])
+        data = np.frombuffer(b"".join(group), np.uint8).reshape(len(group), size).T.astype(np.uint64) + np.uint64(1)
         spans = {}
-        for j in range(1, size + 1):
-            for i in range(max(0, j - self.longest), j):
-                found = np.fromiter((get(w[i:j], -1) for w in group), np.int64, len(group))
-                if (found >= 0).any():
-                    spans[i, j] = found
+        for i in range(size):
+            h = np.zeros(len(group), np.uint64)
+            for j in range(i + 1, min(size, i + self.longest) + 1):
+                h = (h + data[j - 1]) * np.uint64(_STEP)
+                found = self.lookup(h)
+                rows = np.flatnonzero(found >= 0)
+                if len(rows):
+                    spans[i, j] = rows, found[rows]
         return spans
 
     def _pass(self, group, spans):
-        size = len(group[0])
-        reach = np.full((size + 1, len(group)), -np.inf)
+        """Log sums of all ways to reach each place of the words."""
+        reach = np.full((len(group[0]) + 1, len(group)), -np.inf)
         reach[0] = 0.0
-        logs = np.append(self.logs, -np.inf)
-        for j in range(1, size + 1):
-            terms = [reach[i] + logs[spans[i, j]] for i in range(max(0, j - self.longest), j) if (i, j) in spans]
-            reach[j] = np.logaddexp.reduce(terms)
+        for (i, j), (rows, found) in sorted(spans.items(), key=lambda x: x[0][1]):
+            reach[j, rows] = np.logaddexp(reach[j, rows], reach[i, rows] + self.logs[found])
         return reach
 
     def score(self, given: list[bytes]) -> np.ndarray:
@@ -152,18 +188,14 @@ class Lattice:
             group = [marked[r] for r in rows]
             spans = self._batch(group)
             reach = self._pass(group, spans)
-            logs = np.append(self.logs, -np.inf)
             back = np.full((length + 1, len(group)), -np.inf)
             back[length] = 0.0
-            for i in range(length - 1, -1, -1):
-                terms = [logs[spans[i, j]] + back[j] for j in range(i + 1, min(length, i + self.longest) + 1) if (i, j) in spans]
-                if terms:
-                    back[i] = np.logaddexp.reduce(terms)
+            for (i, j), (which, found) in sorted(spans.items(), key=lambda x: -x[0][0]):
+                back[i, which] = np.logaddexp(back[i, which], self.logs[found] + back[j, which])
             weight = counts[rows].astype(float)
-            for (i, j), found in spans.items():
-                share = np.exp(reach[i] + logs[found] + back[j] - reach[length]) * weight
-                real = found >= 0
-                total += np.bincount(found[real], share[real], len(total))
+            for (i, j), (which, found) in spans.items():
+                way = reach[i, which] + self.logs[found] + back[j, which] - reach[length, which]
+                total += np.bincount(found, np.exp(way) * weight[which], len(total))
         return total
 
     def _expect_long(self, word: bytes, count: float, total: np.ndarray) -> None:
