@@ -16,12 +16,17 @@ string occurs. That is one suffix in about 35 bytes.
    hold the same string; all but its earliest start are repeated. Boundaries
    never cut equal leading bytes, and a bucket is read in pieces that carry the
    strings seen so far across the cut, so pieces compare as one bucket.
+   Suffixes whose leading bytes are those of more than ``HOT`` tokens do not go to
+   a bucket: each string of ``LENGTH`` bytes through such a token is hashed, equal
+   ones of a task are merged, and the rest meet by hash, so that no task holds or
+   sorts all contexts of a common phrase.
 4. Covered spans are merged per text.
 
 The unit is the distinct text: its first document (smallest id) keeps what is
 not covered, and later copies of at least ``LENGTH`` bytes are removed whole
 without further work. Texts are told apart by a 64-bit hash, strings by their
-bytes to the right and a 64-bit hash to the left of a token.
+bytes to the right and a 64-bit hash to the left of a token; those of hot leading
+bytes by the hash of these, their place and a 64-bit hash of all their bytes.
 
 Defined cases: null is empty; texts shorter than ``LENGTH`` are kept; null ids
 stand last; rows that repeat id and text are one document (all of them keep what
@@ -55,6 +60,11 @@ SAMPLE, SAMPLE_EACH = 500, 100
 BUCKET, SORTED = 100_000, 30_000
 #: Distinct contexts that a task holds to combine equal ones.
 COMBINED = 100_000
+#: Tokens with equal leading bytes from which their strings are hashed one by one.
+#: The bound rises so that at most ``HOT_GRAMS`` grams are told to all tasks.
+HOT, HOT_GRAMS = 30_000, 1 << 16
+#: Contexts of hot grams whose strings are hashed at once.
+HASHED = 5_000
 
 _STEP = 0x9E3779B97F4A7C15
 _BACK = np.uint64(pow(_STEP, -1, 1 << 64))
@@ -119,7 +129,8 @@ class Seen:
 
 
 def repeated_grams(texts: DataFrame) -> DataFrame:
-    """``unit, gram`` of the tokens whose leading bytes occur twice or more."""
+    """``unit, gram, n`` of the tokens whose leading bytes occur twice or more: how
+    many of them the unit has."""
 
     def emit(batches):
         seen = Seen()
@@ -136,20 +147,20 @@ def repeated_grams(texts: DataFrame) -> DataFrame:
             r, g = row[use][order], gram[use][order]
             same = np.zeros(len(g), bool)
             same[1:] = (r[1:] == r[:-1]) & (g[1:] == g[:-1])
-            twice = np.append(same[1:], False)
+            n = np.diff(np.append(np.flatnonzero(~same), len(g)))
             yield pa.record_batch([
-                pa.array(g[~same].view(np.int64)), pa.array(np.asarray(units, np.int64)[r[~same]]), pa.array(twice[~same]),
-            ], ["gram", "unit", "twice"])
+                pa.array(g[~same].view(np.int64)), pa.array(np.asarray(units, np.int64)[r[~same]]), pa.array(n.astype(np.int64)),
+            ], ["gram", "unit", "n"])
 
     def pick(batches):
         carried = None  # the last row of a batch, with whether its gram is known to repeat
         for batch in batches:
             if not batch.num_rows:
                 continue
-            g, u = (np.asarray(batch.column(c)) for c in ("gram", "unit"))
-            twice = np.asarray(batch.column("twice"))
+            g, u, n = (np.asarray(batch.column(c)) for c in ("gram", "unit", "n"))
+            twice = n > 1
             if carried is not None:
-                g, u, twice = np.append(carried[0], g), np.append(carried[1], u), np.append(carried[2], twice)
+                g, u, n, twice = (np.append(x, y) for x, y in zip(carried, (g, u, n, twice)))
             first = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
             owner = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(g))))
             other = np.append(False, (g[1:] == g[:-1]) & (u[1:] != u[:-1]))
@@ -157,18 +168,24 @@ def repeated_grams(texts: DataFrame) -> DataFrame:
             out = again[owner]
             # the last gram may go on in the next batch: its last row is carried along
             last = first[-1]
-            carried = g[-1:], u[-1:], again[-1:]
+            carried = g[-1:], u[-1:], n[-1:], again[-1:]
             if not again[-1]:
                 out[last:] = False
             else:
                 out[-1] = False
-            yield pa.record_batch([pa.array(u[out]), pa.array(g[out])], ["unit", "gram"])
-        if carried is not None and carried[2][0]:
-            yield pa.record_batch([pa.array(carried[1]), pa.array(carried[0])], ["unit", "gram"])
+            yield pa.record_batch([pa.array(u[out]), pa.array(g[out]), pa.array(n[out])], ["unit", "gram", "n"])
+        if carried is not None and carried[3][0]:
+            yield pa.record_batch([pa.array(carried[1]), pa.array(carried[0]), pa.array(carried[2])], ["unit", "gram", "n"])
 
-    found = texts.select("unit", "text").mapInArrow(emit, "gram long, unit long, twice boolean")
+    found = texts.select("unit", "text").mapInArrow(emit, "gram long, unit long, n long")
     found = found.repartition("gram").sortWithinPartitions("gram", "unit")
-    return found.mapInArrow(pick, "unit long, gram long")
+    return found.mapInArrow(pick, "unit long, gram long, n long")
+
+
+def hot_grams(grams: DataFrame, total: int) -> np.ndarray:
+    """Grams of more tokens than one task should meet, sorted."""
+    counted = grams.groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") > max(HOT, total // HOT_GRAMS))
+    return np.sort(np.asarray(counted.select("gram").toArrow().column("gram").combine_chunks(), np.int64))
 
 
 def packed_units(texts: DataFrame) -> DataFrame:
@@ -216,29 +233,73 @@ def sampled_splitters(texts: DataFrame, firsts: DataFrame, buckets: int) -> np.n
     return np.unique(values[np.linspace(0, len(values) - 1, buckets + 1).astype(int)[1:-1]])
 
 
-ROW = "bucket int, gram long, no_id boolean, id {kind}, unit long, at long, left_bytes int, context binary, begin long, stop long"
-NAMES = ["bucket", "gram", "no_id", "id", "unit", "at", "left_bytes", "context", "begin", "stop"]
-
-
-def contexts(units: DataFrame, splitters: np.ndarray, kind: str) -> DataFrame:
+def hot_strings(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of contexts in order of occurrence: the owner, hash and place of each
+    different string through the token where it starts first, and the spans
+    (owner, begin, stop) of the others."""
+    data = np.frombuffer(b"".join(r[6] for r in rows), np.uint8)
+    size = np.array([len(r[6]) for r in rows], np.int64)
+    left, low = np.array([r[5] for r in rows], np.int64), np.array([r[4] - r[5] for r in rows], np.int64)
+    count = np.maximum(np.minimum(left, size - LENGTH) + 1, 0)
+    owner = np.repeat(np.arange(len(rows)), count)
+    start = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    place = (np.cumsum(size) - size)[owner] + start
+    run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE_CODE[data] * powers(len(data)), dtype=np.uint64)])
+    bytes_ = mix((run[place + LENGTH] - run[place]) * _inverse_powers(len(data) + 1)[place])
+    # strings meet at the same place only: one that holds two equal tokens does not meet itself
+    string = mix(bytes_ + (left[owner] - start).astype(np.uint64) * np.uint64(_STEP)).view(np.int64)
+    gram = np.array([r[0] for r in rows], np.int64)[owner]
+    order = np.lexsort((string, gram))
+    again = np.zeros(len(order), bool)
+    again[order[1:]] = (string[order[1:]] == string[order[:-1]]) & (gram[order[1:]] == gram[order[:-1]])
+    # all strings of an owner hold its token, so that they make one span
+    hit, first = np.unique(owner[again], return_index=True)
+    starts = start[again]
+    last = np.append(first[1:], len(starts)) - 1
+    spans = np.stack([hit, low[hit] + starts[first], low[hit] + starts[last] + LENGTH]) if len(hit) else np.zeros((3, 0), np.int64)
+    return owner[~again], string[~again], low[owner[~again]] + start[~again], spans
+
+
+ROW = "bucket int, gram long, string long, no_id boolean, id {kind}, unit long, at long, left_bytes int, context binary, begin long, stop long"
+NAMES = ["bucket", "gram", "string", "no_id", "id", "unit", "at", "left_bytes", "context", "begin", "stop"]
+
+
+def contexts(units: DataFrame, splitters: np.ndarray, hot: np.ndarray, kind: str) -> DataFrame:
     """One row per suffix to sort: its bytes and those before it, and whose it
     is. Suffixes with the context of an earlier one of the task are given as
-    covered spans (``begin``, ``stop``) instead."""
+    covered spans (``begin``, ``stop``) instead, and those of hot grams as a row
+    per ``string`` that starts at ``at``."""
+    hot_set = frozenset(hot.tolist())
 
     def cut(batches):
         held: dict[bytes, tuple] = {}
         spans: list[tuple[int, int, int]] = []
         unpacker = zstandard.ZstdDecompressor()
         id_type = pa.int64()
+        rank = lambda r: (r[1], 0 if r[2] is None else r[2], r[3], r[4])
 
         def flush():
-            rows = list(held.values())
+            rows, common = [], []
+            for r in held.values():
+                (common if r[0] in hot_set else rows).append(r)
+            common.sort(key=rank)
+            for k in range(0, len(common), HASHED):
+                part = common[k: k + HASHED]
+                owner, string, at, (hit, begin, stop) = hot_strings(part)
+                spans.extend(zip((part[x][3] for x in hit.tolist()), begin.tolist(), stop.tolist()))
+                columns, taken = list(zip(*part)), pa.array(owner)
+                null = lambda t: pa.nulls(len(owner), t)
+                gram, no_id, id_, unit = (pa.array(c, t).take(taken) for c, t in zip(columns, (pa.int64(), pa.bool_(), id_type, pa.int64())))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array((string & 0x7FFFFFFF).astype(np.int32)), gram, pa.array(string), no_id, id_, unit, pa.array(at),
+                    null(pa.int32()), null(pa.binary()), null(pa.int64()), null(pa.int64()),
+                ], NAMES)
             if rows:
                 first8 = np.array([int.from_bytes(r[6][r[5]: r[5] + 8], "big") >> 1 for r in rows], np.int64)
                 bucket = np.searchsorted(splitters, first8, "right").astype(np.int32)
                 columns = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(bucket), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.bool_()), pa.array(columns[2], id_type),
+                    pa.array(bucket), pa.array(columns[0], pa.int64()), pa.nulls(len(rows), pa.int64()), pa.array(columns[1], pa.bool_()), pa.array(columns[2], id_type),
                     pa.array(columns[3], pa.int64()), pa.array(columns[4], pa.int64()), pa.array(columns[5], pa.int32()),
                     pa.array(columns[6], pa.binary()), pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int64()),
                 ], NAMES)
@@ -246,7 +307,7 @@ def contexts(units: DataFrame, splitters: np.ndarray, kind: str) -> DataFrame:
                 u, b, e = zip(*spans)
                 null = lambda t: pa.nulls(len(u), t)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(((np.asarray(u) ^ np.asarray(b)) % 997).astype(np.int32)), null(pa.int64()), null(pa.bool_()), null(id_type), pa.array(u, pa.int64()),
+                    pa.array(((np.asarray(u) ^ np.asarray(b)) % 997).astype(np.int32)), null(pa.int64()), null(pa.int64()), null(pa.bool_()), null(id_type), pa.array(u, pa.int64()),
                     null(pa.int64()), null(pa.int32()), null(pa.binary()), pa.array(b, pa.int64()), pa.array(e, pa.int64()),
                 ], NAMES)
             held.clear()
@@ -268,7 +329,6 @@ def contexts(units: DataFrame, splitters: np.ndarray, kind: str) -> DataFrame:
                     mine = (g, no_id, id_, unit, q, q - low, context)
                     other = held.get(key)
                     if other is not None:
-                        rank = lambda r: (r[1], 0 if r[2] is None else r[2], r[3], r[4])
                         if rank(mine) < rank(other):
                             mine, other = other, mine
                         held[key] = other
@@ -346,6 +406,7 @@ def covered(cuts: DataFrame) -> DataFrame:
     def sort(batches):
         rows: list[tuple] = []
         old = 0
+        met = None  # the last string of a hot gram
 
         def work(final):
             nonlocal rows, old
@@ -365,14 +426,22 @@ def covered(cuts: DataFrame) -> DataFrame:
             done = np.asarray(batch.column("begin").is_valid())
             if done.any():
                 yield batch.filter(pa.array(done)).select(["unit", "begin", "stop"])
-            todo = batch.filter(pa.array(~done))
+            hashed = np.asarray(batch.column("string").is_valid())
+            if hashed.any():
+                # rows are in order of string, then of occurrence: all but the first are repeated
+                part = batch.filter(pa.array(hashed))
+                gram, string, unit, at = (np.asarray(part.column(c)) for c in ("gram", "string", "unit", "at"))
+                again = np.append((gram[0], string[0]) == met, (gram[1:] == gram[:-1]) & (string[1:] == string[:-1]))
+                met = gram[-1], string[-1]
+                yield pa.record_batch([pa.array(unit[again]), pa.array(at[again]), pa.array(at[again] + LENGTH)], ["unit", "begin", "stop"])
+            todo = batch.filter(pa.array(~done & ~hashed))
             rows.extend(zip(*(todo.column(c).to_pylist() for c in ("gram", "unit", "at", "left_bytes", "context"))))
             if len(rows) - old >= SORTED:
                 yield work(False)
         if len(rows) > old:
             yield work(True)
 
-    ordered = cuts.repartition("bucket").sortWithinPartitions("bucket", "gram", "no_id", "id", "unit", "at")
+    ordered = cuts.repartition("bucket").sortWithinPartitions("bucket", "gram", "string", "no_id", "id", "unit", "at")
     return ordered.mapInArrow(sort, "unit long, begin long, stop long")
 
 
@@ -406,10 +475,11 @@ def deduplicated(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id")))
     firsts = stage(texts.groupBy("unit").agg(first.alias("x")).select("unit", "x.no_id", "x.id"), "suffix-firsts")
     grams = stage(repeated_grams(texts), "suffix-grams")
-    splitters = sampled_splitters(texts, firsts, grams.count() // BUCKET + 1)
+    total = grams.count()
+    splitters = sampled_splitters(texts, firsts, total // BUCKET + 1)
     listed = grams.groupBy("unit").agg(F.collect_set("gram").alias("grams"))
     units = packed_units(texts).join(listed.hint("merge"), "unit").join(firsts, "unit")
-    spans = stage(covered(contexts(units.select("unit", "no_id", "id", "packed", "grams"), splitters, kind)), "suffix-spans")
+    spans = stage(covered(contexts(units.select("unit", "no_id", "id", "packed", "grams"), splitters, hot_grams(grams, total), kind)), "suffix-spans")
     by_unit = spans.groupBy("unit").agg(F.collect_list(F.struct("begin", "stop")).alias("spans"))
     left = packed_units(texts).join(by_unit.hint("merge"), "unit")
     return firsts, reduced(left.select("unit", "packed", "spans"))

@@ -73,6 +73,32 @@ def test_suffix_dedup_in_small_pieces(spark, monkeypatch):
     assert brute.in_order(got) == brute.in_order(brute.suffix(rows))
 
 
+@pytest.mark.parametrize("hashed", [7, 5_000])
+def test_suffixes_of_a_common_phrase_never_meet_in_one_task(spark, monkeypatch, hashed):
+    # the phrase is shorter than a string: its contexts all differ
+    for name, value in (("SORTED", 40), ("BUCKET", 50), ("HOT", 30), ("HASHED", hashed)):
+        monkeypatch.setattr(suffix_dedup, name, value, raising=False)
+    rng = random.Random(3)
+    prose = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    phrase, tails = prose(90), [prose(60) for _ in range(12)]
+    texts = [prose(rng.randint(0, 200)) + phrase + (tails[k % 12] if k % 3 else prose(90)) for k in range(240)]
+    texts += [(phrase + prose(8)) * 60, "ab" * 4000, prose(150) + "ab" * 300]
+    rows = [(k, t, "en", "s", len(t)) for k, t in enumerate(texts)] + [(None, texts[1] + "x", "en", "s", 1)]
+    rng.shuffle(rows)
+    meets = []
+    inner = suffix_dedup.covered
+
+    def covered(cuts):
+        cuts = cuts.persist()
+        meets.extend(cuts.where("context IS NOT NULL").groupBy("gram").count().collect())
+        return inner(cuts)
+
+    monkeypatch.setattr(suffix_dedup, "covered", covered)
+    got = [tuple(r) for r in suffix_dedup.report(frame(spark, rows)).collect()]
+    assert brute.in_order(got) == brute.in_order(brute.suffix(rows))
+    assert meets and max(r["count"] for r in meets) <= 30
+
+
 def test_every_string_holds_a_token_at_a_fixed_place():
     rng = np.random.default_rng(1)
     string = rng.integers(97, 100, 100).astype(np.uint8)
