@@ -18,7 +18,9 @@ Set relations skip work:
   similar set, less the lists of the grams it lacks, plus those of the grams it
   has instead. Sets farther than 1/4 go on to the next round with another
   pivot. By the triangle inequality no linked pair is lost: if one of two linked
-  sets is within 1/4 of the pivot, the other is within 1/2.
+  sets is within 1/4 of the pivot, the other is within 1/2. A list that is still
+  long after the rounds is a cell itself, put together with lists of nearly the
+  same sets.
 
 Cells give link counts and one spanning edge per set, never pairs, and large
 cells are cut into blocks of ``BLOCK`` grams. Components come from the edges by
@@ -53,10 +55,12 @@ COUNTED = 3 << 21
 #: Repeats in such a count from which a gram is reported.
 REPEATED = 2
 #: Lists up to this length are compared pair by pair; what rounds of pivots leave
-#: of a list, up to twice as many after each round.
-SHORT = 16
-#: Rounds of pivots; what is left after them is compared pair by pair.
+#: of a list, up to twice as many after each round, but no more than ``PAIRED``.
+SHORT, PAIRED = 16, 512
+#: Rounds of pivots; lists that are still long after them are cells.
 ROUNDS = 8
+#: Pairs and rows that a task collects before it gives them on.
+GIVEN = 100_000
 #: Grams in a block of a cell.
 BLOCK = 1 << 20
 #: Bits of the map of interesting sets.
@@ -178,66 +182,71 @@ _ROW = pa.schema([
 ])
 
 
-def list_rows(index: DataFrame, short: int | None) -> DataFrame:
-    """Walk the lists: pairs of short lists that positions and sizes allow, and
-    the rows of long ones (all lists count as short if ``short`` is None). A list
-    is streamed; only its head of ``short`` rows is held."""
-
-    def walk(batches):
-        pairs, rows, held = [], [], []
-        key, length = None, 0
-
-        def close():
-            if length < 2 or (short is not None and length > short):
-                return
-            ids, n, at = (np.array([x[i] for x in held]) for i in range(3))
-            for i in range(1, len(held)):
-                room = need(n[i], n[:i])
-                ok = (ids[:i] != ids[i]) & (at[i] <= n[i] - room) & (at[:i] <= n[:i] - room)
-                pairs.extend((*sorted((ids[i], other)),) for other in ids[:i][ok])
-
-        def flush():
-            unique = set(pairs)
-            a, b = zip(*unique) if unique else ((), ())
-            none = [None] * len(a)
-            keys, ids, n, at = zip(*rows) if rows else ((), (), (), ())
-            blank = [None] * len(keys)
-            yield pa.record_batch([
-                pa.array([False] * len(a) + [True] * len(keys), pa.bool_()), pa.array(none + list(keys), pa.int64()),
-                pa.array(list(a) + list(ids), pa.int64()), pa.array(list(b) + blank, pa.int64()),
-                pa.array(none + list(n), pa.int32()), pa.array(none + blank, pa.int32()),
-                pa.array(none + list(at), pa.int32()),
-            ], schema=_ROW)
-            pairs.clear()
-            rows.clear()
-
-        for batch in batches:
-            columns = [np.asarray(batch.column(c)) for c in ("key", "id", "n", "at")]
-            # most lists hold one set: they are passed over without a Python step
-            same = np.zeros(batch.num_rows + 1, bool)
-            same[1:-1] = columns[0][1:] == columns[0][:-1]
-            wanted = same[1:] | same[:-1]
-            if len(wanted):
-                wanted[[0, -1]] = True
-            for k, i, n, at in zip(*(c[wanted].tolist() for c in columns)):
-                if k != key:
-                    close()
-                    key, length, held = k, 0, []
-                elif held and held[-1][0] == i:
-                    continue
-                length += 1
-                if short is None or length <= short:
-                    held.append((i, n, at))
-                else:
-                    if length == short + 1:
-                        rows.extend((key, *x) for x in held)
-                    rows.append((key, i, n, at))
-            if len(pairs) + len(rows) > 100_000:
+def walked(batches, short: int):
+    """Rows of the lists, in order of key, n and id: pairs of lists of up to
+    ``short`` sets, and the rows of longer ones."""
+    pairs, rows, held = [], [], []
+    key, length = None, 0
+
+    def close():
+        if length < 2 or length > short:
+            return
+        ids, n, at = (np.array([x[i] for x in held]) for i in range(3))
+        for i in range(1, len(held)):
+            room = need(n[i], n[:i])
+            ok = (ids[:i] != ids[i]) & (at[i] <= n[i] - room) & (at[:i] <= n[:i] - room)
+            pairs.extend((*sorted((ids[i], other)),) for other in ids[:i][ok])
+            if len(pairs) > GIVEN:
                 yield from flush()
-        close()
-        yield from flush()
 
-    return index.repartition("key").sortWithinPartitions("key", "n", "id").mapInArrow(walk, ROW)
+    def flush():
+        unique = set(pairs)
+        a, b = zip(*unique) if unique else ((), ())
+        none = [None] * len(a)
+        keys, ids, n, at = zip(*rows) if rows else ((), (), (), ())
+        blank = [None] * len(keys)
+        yield pa.record_batch([
+            pa.array([False] * len(a) + [True] * len(keys), pa.bool_()), pa.array(none + list(keys), pa.int64()),
+            pa.array(list(a) + list(ids), pa.int64()), pa.array(list(b) + blank, pa.int64()),
+            pa.array(none + list(n), pa.int32()), pa.array(none + blank, pa.int32()),
+            pa.array(none + list(at), pa.int32()),
+        ], schema=_ROW)
+        pairs.clear()
+        rows.clear()
+
+    for batch in batches:
+        columns = [np.asarray(batch.column(c)) for c in ("key", "id", "n", "at")]
+        # most lists hold one set: they are passed over without a Python step
+        same = np.zeros(batch.num_rows + 1, bool)
+        same[1:-1] = columns[0][1:] == columns[0][:-1]
+        wanted = same[1:] | same[:-1]
+        if len(wanted):
+            wanted[[0, -1]] = True
+        for k, i, n, at in zip(*(c[wanted].tolist() for c in columns)):
+            if k != key:
+                yield from close()
+                key, length, held = k, 0, []
+            elif held and held[-1][0] == i:
+                continue
+            length += 1
+            if length <= short:
+                held.append((i, n, at))
+            else:
+                if length == short + 1:
+                    rows.extend((key, *x) for x in held)
+                rows.append((key, i, n, at))
+        if len(pairs) + len(rows) > GIVEN:
+            yield from flush()
+    yield from close()
+    yield from flush()
+
+
+def list_rows(index: DataFrame, short: int) -> DataFrame:
+    """Walk the lists: pairs of short lists that positions and sizes allow, and
+    the rows of long ones. A list is streamed; only its head of ``short`` rows is
+    held."""
+    ordered = index.repartition("key").sortWithinPartitions("key", "n", "id")
+    return ordered.mapInArrow(lambda batches: walked(batches, short), ROW)
 
 
 def interesting(ids: DataFrame) -> np.ndarray:
@@ -315,12 +324,14 @@ def pivot_rounds(lists: DataFrame, every: DataFrame) -> tuple[DataFrame | None,
         # all pairs of a cell are answered there: a list that lies inside it is done
         going = stage(marked.where(~F.coalesce("inside", F.lit(False))).select("key").distinct(), "join-going")
         left = marked.join(going, "key", "left_semi").select("key", "id", "n", "at")
-        rows = stage(list_rows(left, SHORT << (turn + 1)), "join-left")
+        rows = stage(list_rows(left, min(SHORT << (turn + 1), PAIRED)), "join-left")
         pairs.append(rows.where("NOT long_list").select("a", "b"))
         lists = rows.where("long_list").select("key", F.col("a").alias("id"), "n", "at")
     else:
-        rest = list_rows(lists, None)
-        pairs.append(rest.select("a", "b"))
+        # lists of one passage hold nearly the same sets: they are one cell
+        least = [F.min(F.xxhash64("id", F.lit(seed))) for seed in range(3)]
+        named = lists.groupBy("key").agg(F.xxhash64(*least).alias("cell"))
+        cells.append(lists.join(named, "key").select("cell", "id"))
     merged = None
     for cell in cells:
         merged = cell if merged is None else merged.unionByName(cell)

@@ -53,6 +53,40 @@ def test_join_stops_after_its_rounds(spark, monkeypatch):
     assert brute.in_order(got) == brute.in_order(brute.join(rows))
 
 
+def test_rest_of_long_lists_is_not_paired(spark, monkeypatch):
+    # all documents are made of frequent passages and pairwise far apart, but for a few
+    monkeypatch.setattr(ngram_join, "ROUNDS", 1)
+    monkeypatch.setattr(ngram_join, "SHORT", 2)
+    monkeypatch.setattr(ngram_join, "BLOCK", 3000)
+    rng = random.Random(8)
+    passages = [" ".join(f"w{rng.randrange(10_000)}" for _ in range(60)) for _ in range(12)]
+    texts = [" ".join(rng.sample(passages, 4)) for _ in range(90)]
+    texts += [t + f" tail {k}" for k, t in enumerate(texts[::9])]
+    rows = [(k, t, "en", "s", len(t)) for k, t in enumerate(texts)]
+    paired, inner = [], ngram_join.pivot_rounds
+
+    def pivot_rounds(lists, every):
+        cells, pairs = inner(lists, every)
+        paired.append(sum(p.distinct().count() for p in pairs))
+        return cells, pairs
+
+    monkeypatch.setattr(ngram_join, "pivot_rounds", pivot_rounds)
+    got = [tuple(r) for r in ngram_join.join_documents(frame(spark, rows)).collect()]
+    assert brute.in_order(got) == brute.in_order(brute.join(rows))
+    assert paired and paired[0] < 2 * len(rows)
+
+
+def test_pairs_of_a_list_are_given_in_pieces(monkeypatch):
+    monkeypatch.setattr(ngram_join, "GIVEN", 1000)
+    n = 300
+    index = pa.record_batch([
+        pa.array([5] * n, pa.int64()), pa.array(range(n), pa.int64()), pa.array([40] * n, pa.int32()), pa.array([0] * n, pa.int32()),
+    ], ["key", "id", "n", "at"])
+    found = list(ngram_join.walked([index], n))
+    assert max(b.num_rows for b in found) <= 1000 + n
+    assert {(a, b) for x in found for a, b in zip(x.column("a").to_pylist(), x.column("b").to_pylist())} == set(itertools.combinations(range(n), 2))
+
+
 def test_one_of_each_group_stays(spark):
     rows = brute.odd_documents()
     kept = [tuple(r) for r in ngram_join.one_per_group(frame(spark, rows)).collect()]
