@@ -140,12 +140,16 @@ def all_lake_columns(spark, sf_dir):
     return readers.open_lake(spark, claims=lake, tables=["fact_claims"], whole=True)["fact_claims"]
 
 
+#: Bundles in a file of several lines each.
+BUNDLES = 1000
+
+
 @check(expected.FLAT_ENCOUNTER)
 def multi_line_bundles(spark, sf_dir):
     """Bundles in files of several lines each, read in the default form."""
     landing = fresh_folder(spark, "bundles")
     text = standins.bundle_text(standins.bundles(spark, sf_dir))
-    spread = text.select(F.regexp_replace("value", ",\"type\"", ",\n  \"type\"").alias("value"), F.pmod(F.xxhash64("value"), F.lit(16)).alias("file"))
+    spread = text.select(F.regexp_replace("value", ",\"type\"", ",\n  \"type\"").alias("value"), F.floor(F.monotonically_increasing_id() / F.lit(BUNDLES)).alias("file"))
     files = spread.groupBy("file").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("value"), ",\n"), F.lit("\n]")).alias("value"))
     files.write.partitionBy("file").text(f"{landing}/fhir")
     return clinical.flatten_encounters(clinical.stage_resources(readers.read_bundles(spark, landing)))
