@@ -7,15 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from carebasin.llm import (
+    bbit_minhash,
     decontaminate,
     language,
     lattice_lm,
     line_dedup,
     mixing,
     ngram_join,
+    periodic_runs,
     quality_crf,
     quality_rules,
     suffix_dedup,
+    token_alignment,
     warc,
 )
 from carebasin.llm.common import table
@@ -82,3 +85,18 @@ def op8_decontaminate(spark, sf_dir):
 @query()
 def op10_quality_classifier(spark, sf_dir):
     return quality_crf.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op11_periodic_runs(spark, sf_dir):
+    return periodic_runs.report(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_bbit_minhash(spark, sf_dir):
+    return bbit_minhash.report(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_token_alignment(spark, sf_dir):
+    return token_alignment.report(table(spark, sf_dir, "documents"))
