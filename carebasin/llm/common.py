@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The ASCII capitals and what they become; other letters keep their case.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -21,6 +22,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of the frame has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def packed(docs: DataFrame, *more: Column | str) -> DataFrame:
+    """All columns of the caller in one struct ``row``, where no name can clash with
+    those added; ``select("row.*")`` gives them back."""
+    return docs.select(F.struct("*").alias("row"), *more)
+
+
+def orderable(kind: T.DataType) -> bool:
+    """Whether values of the type can be compared, at any depth."""
+    if isinstance(kind, T.StructType):
+        return all(orderable(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return orderable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType, T.CalendarIntervalType))
+
+
+def orderable_part(docs: DataFrame, row: str = "row") -> Column:
+    """The columns of a packed row that can be compared, as a struct."""
+    plain = [f.name for f in docs.schema if orderable(f.dataType)]
+    return F.struct(*[F.col(row).getField(name) for name in plain], F.lit(0).alias("_"))
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

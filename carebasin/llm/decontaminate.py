@@ -2,21 +2,28 @@
 
 Items are cut into windows of ten consecutive words (a shorter item is one
 window). Corpus frequencies of the items' terms rank the terms of each window.
-The index stores the positions of every window's rarest terms in the training
-texts. The lists of a window's rarest terms are shifted by the terms' offsets
-in the window and intersected, rarest first; what is left is compared word by
-word with the words around the rarest term, kept beside its position.
 
-Terms are compared by 64-bit hashes of their words. Items are the small side:
+* **Phrases.** The index stores the positions of every window's two rarest terms in
+  the training texts. The two lists are shifted by the terms' offsets in the window
+  and intersected, once for all windows with the same two terms at the same
+  distance. Only places in both lists are compared word by word with the
+  words around the rarest term, which are kept beside its position.
+* **Proximity.** A match holds ``NEAR`` percent of a window's different words within a
+  window's length on both sides of one of them. It lacks few of them, so it
+  holds one of the few rarest (one more than it may lack; those that no text holds
+  have empty lists): all of these are probed.
+
+Terms are compared by 64-bit hashes of their words. The texts are cut into terms
+once, and these are written; later steps read them. Items are the small side:
 their terms and windows are broadcast if they are counted below ``BROADCAST``
-rows, and joined by shuffle otherwise. Documents are read three times (term
-frequencies, positions, word counts) and never shuffled whole.
+rows, and joined by shuffle otherwise. Then positions alone are shuffled by term, and
+the words around them are cut out where they meet their document's terms again.
 
 Defined cases: null or wordless texts have no words, no windows and no hits; an
 item without words never occurs; repeated items count once by id, and a null id
 as the empty text; rows that repeat id and text share their result; empty
-tables give no hits or no rows. Extra columns are ignored by ``report`` and
-kept by ``clean``.
+tables give no hits or no rows. Extra columns, whatever their names, are ignored by
+``report`` and come back unchanged from ``clean``.
 """
 
 from __future__ import annotations
@@ -24,18 +31,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carebasin.llm.common import ascii_lower, row_key
+from carebasin.llm.common import ascii_lower, free_name, row_key
 from carebasin.sources.writers import stage
 
 #: Words, after lower-casing: digits, small letters, and all beyond ASCII.
 TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Words in a window.
 WINDOW = 10
-#: Position lists intersected per window, from the rarest term on.
-LISTS = 2
-#: A proximity match holds this share of a window's different words within
-#: a window's length around its rarest word.
-NEAR = 0.8
+#: A proximity match holds so many of 100 different words of a window.
+NEAR = 80
 #: Rows of terms or windows up to which they are broadcast (16 to 200 bytes each).
 BROADCAST = 200_000
 
@@ -61,72 +65,90 @@ def item_windows(items: DataFrame) -> DataFrame:
     return cut.select(F.xxhash64("item", "terms").alias("window"), "item", "terms").distinct()
 
 
-def exploded(docs: DataFrame) -> DataFrame:
-    return docs.select(row_key().alias("key"), terms(F.col("text")).alias("all")).select(
-        "key", "all", F.posexplode("all").alias("at", "term")
-    )
+def cut_texts(docs: DataFrame) -> DataFrame:
+    """``key, doc_id, terms`` of all rows, written once."""
+    return stage(docs.select(row_key().alias("key"), "doc_id", terms(F.col("text")).alias("terms")), "leak-texts")
 
 
-def ranked_windows(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Windows whose terms all occur in the corpus, with their terms and
-    offsets ordered from the rarest on."""
+def ranked_windows(texts: DataFrame, items: DataFrame) -> DataFrame:
+    """``window, item, terms, ranked``: terms and offsets, the rarest in the corpus first."""
     windows = stage(item_windows(items), "leak-windows")
     offsets = windows.select("window", "item", "terms", F.posexplode("terms").alias("offset", "term"))
     vocabulary = stage(offsets.select("term").distinct(), "leak-terms")
-    corpus = docs.select(F.explode(terms(F.col("text"))).alias("term"))
+    corpus = texts.select(F.explode("terms").alias("term"))
     counts = stage(corpus.join(small(vocabulary), "term").groupBy("term").agg(F.count(F.lit(1)).alias("n")), "leak-counts")
-    rank = F.sort_array(F.collect_list(F.struct("n", "offset", "term")))
-    ranked = offsets.join(counts, "term").groupBy("window", "item", "terms").agg(rank.alias("ranked"))
-    return stage(ranked.where(F.size("ranked") == F.size("terms")), "leak-ranked")
-
-
-def positions(docs: DataFrame, ranked: DataFrame) -> DataFrame:
-    """The index: ``term, key, at`` of the rarest terms, and for the very rarest
-    of some window the words ``around`` it."""
-    listed = ranked.select(F.posexplode(F.slice("ranked", 1, LISTS)).alias("rank", "x"))
-    listed = listed.groupBy(F.col("x.term").alias("term")).agg(F.min("rank").alias("rank"))
-    found = exploded(docs).join(small(stage(listed, "leak-listed")), "term")
-    around = F.slice("all", F.greatest(F.col("at") - (WINDOW - 1), F.lit(0)) + 1, F.lit(2 * WINDOW - 1))
-    return stage(
-        found.select("term", "key", "at", F.when(F.col("rank") == 0, around).alias("around")).distinct(), "leak-index"
+    rank = F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "term")))
+    return stage(offsets.join(counts, "term", "left").groupBy("window", "item", "terms").agg(rank.alias("ranked")), "leak-ranked")
+
+
+def positions(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The index: ``term, key, at`` of all wanted terms (``term, probe``), and for those
+    to probe the words ``around`` each place."""
+    wanted = stage(wanted.groupBy("term").agg(F.max("probe").alias("probe")), "leak-wanted")
+    around = F.when(F.col("probe"), F.slice("terms", F.greatest(F.col("at") - (WINDOW - 1), F.lit(0)) + 1, F.lit(2 * WINDOW - 1)))
+    if wanted.count() <= BROADCAST:
+        found = texts.select("key", "terms", F.posexplode("terms").alias("at", "term")).join(F.broadcast(wanted), "term")
+    else:
+        # places alone go to their terms; a text's places come back to it together
+        places = texts.select("key", F.posexplode("terms").alias("at", "term")).join(wanted, "term")
+        held = places.groupBy("key").agg(F.collect_set(F.struct("at", "term", "probe")).alias("places"))
+        found = texts.select("key", "terms").join(held.hint("merge"), "key").select("key", "terms", F.explode("places").alias("x"))
+        found = found.select("key", "terms", "x.at", "x.term", "x.probe")
+    return stage(found.select("term", "key", "at", around.alias("around")), "leak-index")
+
+
+def phrases(texts: DataFrame, ranked: DataFrame) -> DataFrame:
+    """``key, item, window, start, length`` of exact phrases."""
+    first, second = F.get("ranked", F.lit(0)), F.get("ranked", F.lit(1))
+    present = stage(ranked.where(first["n"] > 0).select(
+        "window", "item", "terms", first["term"].alias("t0"), first["offset"].alias("offset"),
+        second["term"].alias("t1"), (second["offset"] - first["offset"]).alias("gap"),
+    ), "leak-present")
+    wanted = present.select(F.col("t0").alias("term"), F.lit(True).alias("probe"))
+    wanted = wanted.unionByName(present.where("t1 IS NOT NULL").select(F.col("t1").alias("term"), F.lit(False).alias("probe")))
+    index = positions(texts, wanted)
+    pairs = stage(present.select("t0", "t1", "gap").distinct(), "leak-pairs")
+    rarest = index.where("around IS NOT NULL").withColumnRenamed("term", "t0").join(small(pairs), "t0")
+    # lists of the second terms, shifted to the places where the rarest ones must be
+    shifted = index.select(F.col("term").alias("t1"), "key", F.col("at").alias("there")).hint("merge")
+    both = rarest.where("t1 IS NOT NULL").withColumn("there", F.col("at") + F.col("gap")).join(shifted, ["t1", "key", "there"], "left_semi")
+    both = both.drop("there").unionByName(rarest.where("t1 IS NULL"))
+    both = stage(both.withColumns({"t1": F.coalesce("t1", F.lit(0)), "gap": F.coalesce("gap", F.lit(0))}), "leak-both")
+    named = present.withColumns({"t1": F.coalesce("t1", F.lit(0)), "gap": F.coalesce("gap", F.lit(0))})
+    begin = F.least(F.col("at"), F.lit(WINDOW - 1)) - F.col("offset")
+    inside = F.when(begin >= 0, F.slice("around", begin + 1, F.size("terms")))
+    found = both.join(small(named), ["t0", "t1", "gap"]).where(inside == F.col("terms"))
+    return found.select("key", "item", "window", (F.col("at") - F.col("offset")).alias("start"), F.size("terms").alias("length"))
+
+
+def near_matches(texts: DataFrame, ranked: DataFrame) -> DataFrame:
+    """``key, item, window, start, length`` of all proximity matches, phrases
+    included; ``start`` is where the window would begin by the probed word."""
+    probed = F.floor(F.size(F.array_distinct("terms")) * F.lit(100 - NEAR) / 100) + 1
+    different = F.array_distinct(F.transform("ranked", lambda r: r["term"]))
+    probes = stage(ranked.select(
+        "window", "item", "terms", F.explode(F.slice(different, F.lit(1), probed.cast("int"))).alias("term")
+    ).withColumn("offset", F.array_position("terms", F.col("term")) - 1), "leak-probes")
+    index = positions(texts, probes.select("term", F.lit(True).alias("probe")))
+    found = index.join(small(probes), "term").where(
+        F.size(F.array_intersect("terms", "around")) * 100 >= F.lit(NEAR) * F.size(F.array_distinct("terms"))
     )
+    return found.select("key", "item", "window", (F.col("at") - F.col("offset")).cast("int").alias("start"), F.size("terms").alias("length"))
 
 
 def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``key, item, window, start, length, phrase``: exact phrases, and proximity
-    matches (``phrase`` false; the rarest list alone names the place)."""
-    ranked = ranked_windows(docs, items)
-    index = positions(docs, ranked)
-    lists = [
-        ranked.withColumn("x", F.get("ranked", F.lit(k))).where("x IS NOT NULL")
-        .select("window", "item", "terms", F.col("x.term").alias("term"), F.col("x.offset").alias("offset"))
-        for k in range(LISTS)
-    ]
-    start = (F.col("at") - F.col("offset")).alias("start")
-    rarest = index.where("around IS NOT NULL").join(small(lists[0]), "term").select(
-        "window", "item", "terms", "key", start, "around", "at", "offset"
-    )
-    begin = F.least(F.col("at"), F.lit(WINDOW - 1)) - F.col("offset")
-    inside = F.when(begin >= 0, F.slice("around", begin + 1, F.size("terms")))
-    marked = rarest.select(
-        "window", "item", "key", "start", F.size("terms").alias("length"),
-        F.coalesce(inside == F.col("terms"), F.lit(False)).alias("phrase"),
-        (F.size(F.array_intersect("terms", "around")) >= F.lit(NEAR) * F.size(F.array_distinct("terms"))).alias("near"),
-    ).where("phrase OR near")
-    marked = stage(marked, "leak-candidates")
-    exact = marked.where("phrase")
-    for later in lists[1:]:
-        shifted = index.select("term", "key", "at").join(small(later), "term").select("window", "key", start)
-        short = exact.where(F.col("length") < len(lists))
-        exact = exact.where(F.col("length") >= len(lists)).join(shifted.distinct(), ["window", "key", "start"], "left_semi")
-        exact = exact.unionByName(short)
-    near = marked.where("NOT phrase")
-    return exact.unionByName(near).select("key", "item", "window", "start", "length", "phrase")
-
-
-def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """``key, item, window, start, length, phrase`` of exact phrases, and (``phrase``
+    false) of proximity matches that are none."""
+    texts = cut_texts(docs)
+    ranked = ranked_windows(texts, items)
+    exact = stage(phrases(texts, ranked).distinct(), "leak-phrases")
+    near = near_matches(texts, ranked).distinct().join(exact.hint("merge"), ["key", "item", "window", "start", "length"], "left_anti")
+    return exact.withColumn("phrase", F.lit(True)).unionByName(near.withColumn("phrase", F.lit(False)))
+
+
+def hits(texts: DataFrame, items: DataFrame) -> DataFrame:
     """``key, n_hit, items`` of the documents with exact phrases."""
-    found = matches(docs, items).where("phrase")
+    found = phrases(texts, ranked_windows(texts, items))
     spans = F.sort_array(F.collect_set(F.struct("start", "length")))
     merged = F.aggregate(
         "spans",
@@ -142,11 +164,9 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def report(docs: DataFrame, items: DataFrame) -> DataFrame:
-    found = hits(docs, items)
-    every = docs.select(
-        row_key().alias("key"), "doc_id",
-        F.coalesce(F.regexp_count(ascii_lower(F.col("text")), F.lit(TERM)), F.lit(0)).cast("long").alias("n_words"),
-    )
+    texts = cut_texts(docs)
+    found = hits(texts, items)
+    every = texts.select("key", "doc_id", F.size("terms").cast("long").alias("n_words"))
     ids = F.concat_ws(",", F.coalesce("items", F.array().cast("array<string>")))
     hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return every.join(found, "key", "left").select(
@@ -158,9 +178,9 @@ def report(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` without any exact phrase of an item."""
-    docs = docs.drop("leak_key")
-    found = hits(docs, items).select(F.col("key").alias("leak_key"))
-    return docs.withColumn("leak_key", row_key()).join(found, "leak_key", "left_anti").drop("leak_key")
+    name = free_name(docs, "leak_key")
+    found = hits(cut_texts(docs), items).select(F.col("key").alias(name))
+    return docs.withColumn(name, row_key()).join(found, name, "left_anti").drop(name)
 
 
 T = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"

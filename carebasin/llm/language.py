@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carebasin.llm.common import Texts, chunks, fold
+from carebasin.llm.common import Texts, chunks, fold, packed
 
 #: Hashed trigram features.
 BITS = 15
@@ -205,8 +205,8 @@ def accepted(docs: DataFrame, model: Model, least: float = LEAST) -> DataFrame:
     text. A model that has learned nothing rejects nothing."""
     if not model.languages:
         return docs
-    labelled = predict(docs, model)
-    return labelled.where((F.col("lang_pred") != "und") & (F.col("lang_score") >= least)).select(*docs.columns)
+    labelled = predict(packed(docs, "text"), model)
+    return labelled.where((F.col("lang_pred") != "und") & (F.col("lang_score") >= least)).select("row.*")
 
 
 def training_rows(docs: DataFrame) -> DataFrame:

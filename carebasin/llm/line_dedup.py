@@ -9,15 +9,16 @@ judged on the input, not on what is left.
 Defined cases: a text of fewer than three lines has no window and is kept; a
 window without any word is never repeated; a null text stays null; null ids
 stand last in the order; rows that repeat id and text are one document and are
-treated alike; an empty table gives an empty result. Extra columns stay.
+treated alike; an empty table gives an empty result. Extra columns, whatever their
+names, come back unchanged.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carebasin.llm.common import WORD, row_key
+from carebasin.llm.common import WORD, packed, row_key
 from carebasin.sources.writers import stage
 
 #: Lines in a window.
@@ -57,48 +58,57 @@ def covered_lines(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``line_text`` (what is kept), ``line_count``, ``line_removed``
-    (lines) and ``line_spans`` (removed runs)."""
-    docs = docs.drop(*[c for c in docs.columns if c.startswith("line_")])
+    """``row`` (the columns of ``docs``), ``text``, ``kept`` (what is left of it), and
+    the number of ``lines``, of ``removed`` lines and of removed runs (``spans``)."""
     starts = stage(covered_lines(docs), "line-covered")
     # a merge join at every size: the texts are shuffled by key, the starts never broadcast
-    joined = docs.withColumn("line_key", row_key()).join(starts.hint("merge"), "line_key", "left")
-    joined = joined.withColumn("line_all", F.split("text", "\n", -1)).withColumn(
-        "line_gone",
-        F.array_distinct(F.flatten(F.transform("starts", lambda s: F.array(*[s + k for k in range(LINES)])))),
+    keyed = packed(docs, "text", row_key().alias("line_key"))
+    joined = keyed.join(starts.hint("merge"), "line_key", "left").withColumn("every", F.split("text", "\n", -1))
+    # lines and starts of windows in one sorted array: a line is covered if a start stands
+    # close before it. Both lambdas take a bound array, so no step searches or copies it
+    marks = F.concat(
+        F.transform("every", lambda x, i: F.struct(i.alias("at"), F.lit(1).alias("kind"), x.alias("line"))),
+        F.transform("starts", lambda s: F.struct(s.alias("at"), F.lit(0).alias("kind"), F.lit(None).cast("string").alias("line"))),
     )
-    spans = F.size(F.filter(
-        "starts", lambda s, i: F.get("starts", i - 1).isNull() | (s - F.get("starts", i - 1) > LINES)
-    ))
-    gone = F.map_from_arrays("line_gone", F.transform("line_gone", lambda x: F.lit(True)))
-    joined = joined.withColumn("line_map", gone)
-    left = F.filter("line_all", lambda x, i: ~F.coalesce(F.element_at("line_map", i), F.lit(False)))
-    kept = F.when(F.col("starts").isNull(), F.col("text")).otherwise(F.concat_ws("\n", left))
+
+    def uncovered(sorted_: Column) -> Column:
+        def stays(mark: Column, i: Column) -> Column:
+            start = F.lit(False)
+            for k in range(1, 2 * LINES):
+                before = F.get(sorted_, i - k)
+                start = start | F.coalesce((before["kind"] == 0) & (before["at"] > mark["at"] - LINES), F.lit(False))
+            return (mark["kind"] == 1) & ~start
+
+        return F.transform(F.filter(sorted_, stays), lambda mark: mark["line"])
+
+    left = F.element_at(F.transform(F.array(F.sort_array(marks)), uncovered), 1)
+    spans = F.size(F.filter("starts", lambda s, i: F.get("starts", i - 1).isNull() | (s - F.get("starts", i - 1) > LINES)))
+    covered = F.col("starts").isNotNull()
+    joined = joined.withColumn("left", F.when(covered, left))
     return joined.select(
-        *docs.columns, kept.alias("line_text"),
-        F.coalesce(F.size("line_all"), F.lit(0)).cast("long").alias("line_count"),
-        F.when(F.col("starts").isNull(), F.lit(0)).otherwise(F.size("line_gone")).cast("long").alias("line_removed"),
-        F.when(F.col("starts").isNull(), F.lit(0)).otherwise(spans).cast("long").alias("line_spans"),
+        "row", "text", F.when(covered, F.concat_ws("\n", "left")).otherwise(F.col("text")).alias("kept"),
+        F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size("every")).cast("long").alias("lines"),
+        F.when(covered, F.size("every") - F.size("left")).otherwise(F.lit(0)).cast("long").alias("removed"),
+        F.when(covered, spans).otherwise(F.lit(0)).cast("long").alias("spans"),
     )
 
 
 def shortened(docs: DataFrame) -> DataFrame:
     """``docs`` with the kept text in place of ``text`` and its length in
     ``n_chars``; documents of which no word is left go."""
-    marked = deduplicated(docs).where((F.col("line_removed") == 0) | F.col("line_text").rlike(WORD))
-    new = {"text": F.col("line_text")}
+    marked = deduplicated(docs).where((F.col("removed") == 0) | F.col("kept").rlike(WORD))
+    new = {"text": F.col("kept").alias("text")}
     if "n_chars" in docs.columns:
-        kind = dict(docs.dtypes)["n_chars"]
-        new["n_chars"] = F.when(F.col("line_removed") > 0, F.length("line_text")).otherwise(F.col("n_chars")).cast(kind)
-    return marked.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns if not c.startswith("line_")])
+        n_chars = F.when(F.col("removed") > 0, F.length("kept")).otherwise(F.col("row.n_chars"))
+        new["n_chars"] = n_chars.cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return marked.select(*[new.get(c, F.col("row").getField(c).alias(c)) for c in docs.columns])
 
 
 def report(docs: DataFrame) -> DataFrame:
     """One row per document with a digest of what is kept (null text: of '')."""
-    kept = F.coalesce("line_text", F.lit(""))
+    kept = F.coalesce("kept", F.lit(""))
     return deduplicated(docs.select("doc_id", "text")).select(
-        "doc_id", F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.col("line_count")).cast("long").alias("n_lines"),
-        F.col("line_removed").alias("n_removed"), F.col("line_spans").alias("n_spans"),
+        "row.doc_id", F.col("lines").alias("n_lines"), F.col("removed").alias("n_removed"), F.col("spans").alias("n_spans"),
         F.sha2(kept.cast("binary"), 256).alias("kept_sha256"),
     )
 

@@ -15,8 +15,9 @@ row number inside a bucket.
 Defined cases: a null text has size 0; a null source is a source of its own and
 stands last; a null id is ordered first; repeated rows are separate rows and are
 sampled one by one; sources without words get target 0, and their documents no
-copies; an empty table gives an empty result. Extra columns are carried through
-``mixed`` and ignored by ``plan``; names that begin with ``mix_`` are replaced.
+copies; an empty table gives an empty result. Extra columns, whatever their names, are
+ignored by ``plan`` and come back unchanged from ``mixed``, but for a ``mix_copy``,
+which is replaced by the new number.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from carebasin.llm.common import WORD, row_key
+from carebasin.llm.common import WORD, orderable_part, packed, row_key
 from carebasin.sources.writers import stage
 
 #: Weights of the sources in code point order, repeated.
@@ -121,19 +122,35 @@ def plan(docs: DataFrame, seed: str = SEED, weights=WEIGHTS, share: float = SHAR
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as the plan says, with
     the number of the copy in ``mix_copy`` (from 1). Rows that repeat id and text
-    share their copies evenly."""
-    docs = docs.drop(*[c for c in docs.columns if c.startswith("mix_")])
-    copies = plan(docs, **options).groupBy("mix_row").agg(
-        F.sum("copies").alias("mix_copies"), F.count(F.lit(1)).alias("mix_rows")
-    )
-    copies = stage(copies.where("mix_copies > 0"), "mix-copies")
-    # a merge join at every size; the rank needs no further shuffle
-    joined = docs.withColumn("mix_row", row_key()).join(copies.hint("merge"), "mix_row")
-    rank = F.row_number().over(Window.partitionBy("mix_row").orderBy(source_key()))
-    share = F.floor((F.col("mix_copies") - rank + F.col("mix_rows")) / F.col("mix_rows")).cast("int")
-    return joined.withColumn("mix_share", share).where("mix_share > 0").select(
-        *docs.columns, F.explode(F.sequence(F.lit(1), F.col("mix_share"))).alias("mix_copy")
+    share their copies evenly: as many as all can have go to each, and one more to the
+    first of them by source and the other columns."""
+    docs = docs.drop("mix_copy")
+    copies = plan(docs, **options).groupBy("mix_row").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
+    keyed = packed(docs, row_key().alias("mix_row"), source_key().alias("mix_source"))
+    keyed = keyed.withColumn("kind", F.xxhash64(orderable_part(docs)))
+    # equal rows are counted, in tasks first, and never ranked one by one
+    kinds = keyed.groupBy("mix_row", "kind").agg(F.min("mix_source").alias("mix_source"), F.count(F.lit(1)).alias("n"))
+    in_order = Window.partitionBy("mix_row").orderBy("mix_source", "kind")
+    before = F.coalesce(F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shared = kinds.withColumn("before", before).join(copies.where("copies > 0").hint("merge"), "mix_row")
+    rest = F.col("copies") % F.col("rows") - F.col("before")
+    shared = shared.select(
+        "mix_row", "kind", F.floor(F.col("copies") / F.col("rows")).cast("int").alias("each"),
+        F.least(F.greatest(rest, F.lit(0)), F.col("n")).cast("int").alias("more"), "n",
     )
+    shared = stage(shared.where("each > 0 OR more > 0").withColumns({
+        # a row that stands alone has its one more copy at once
+        "each": F.when(F.col("n") == 1, F.col("each") + F.col("more")).otherwise(F.col("each")),
+        "more": F.when(F.col("n") == 1, F.lit(0)).otherwise(F.col("more")),
+    }), "mix-shared")
+    # merge joins at every size; nothing above them keeps a hot row from being split
+    name = "mix_copy"
+    held = keyed.join(shared.where("each > 0").select("mix_row", "kind", "each").hint("merge"), ["mix_row", "kind"])
+    held = held.select("row", F.explode(F.sequence(F.lit(1), F.col("each"))).alias(name))
+    extra = keyed.join(shared.where("more > 0").select("mix_row", "kind", "each", "more").hint("merge"), ["mix_row", "kind"])
+    one = extra.groupBy("mix_row", "kind").agg(F.first("row").alias("row"), F.first("each").alias("each"), F.first("more").alias("more"))
+    one = one.select("row", (F.col("each") + 1).alias(name), F.explode(F.sequence(F.lit(1), F.col("more")))).select("row", name)
+    return held.unionByName(one).select("row.*", name)
 
 
 def report(docs: DataFrame) -> DataFrame:

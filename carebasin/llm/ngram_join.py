@@ -38,10 +38,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carebasin.llm.common import WORD, Texts, chunks, mix, row_key, words
+from carebasin.llm.common import WORD, Texts, chunks, mix, orderable_part, packed, row_key, words
 from carebasin.llm.components import connected
 from carebasin.sources.writers import stage
 
@@ -496,16 +496,12 @@ def join_documents(docs: DataFrame, k: int = WORDS) -> DataFrame:
 def one_per_group(docs: DataFrame, k: int = WORDS) -> DataFrame:
     """The rows of ``docs`` but for all of a group except the one of the smallest
     id. Documents without words are in no group and stay."""
-    docs = docs.drop("join_key", "join_rank")
     slim, by_set = labelled(docs, k)
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")
     first = slim.where("id IS NOT NULL").join(by_set.select("id", "label"), "id").groupBy("label").agg(F.min(place).alias("x"))
-    keep = stage(first.select(F.col("x.key").alias("join_key")), "join-kept")
-    keyed = docs.withColumn("join_key", row_key())
-    worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
-    single = keyed.where(worded).join(keep.hint("merge"), "join_key", "left_semi")
-    # rows that repeat id and text share a key
-    plain = [c for c, kind in docs.dtypes if not kind.startswith(("map", "variant", "interval"))]
-    rank = F.row_number().over(Window.partitionBy("join_key").orderBy(*plain))
-    single = single.withColumn("join_rank", rank).where("join_rank = 1")
-    return single.select(*docs.columns).unionByName(keyed.where(~worded).select(*docs.columns))
+    keep = stage(first.select(F.col("x.key").alias("key")), "join-kept")
+    keyed = packed(docs, row_key().alias("key"), F.coalesce(F.col("text").rlike(WORD), F.lit(False)).alias("worded"))
+    # rows that repeat id and text share a key: one of each is picked, in tasks first
+    single = keyed.where("worded").groupBy("key").agg(F.min_by("row", orderable_part(docs)).alias("row"))
+    single = single.join(keep.hint("merge"), "key", "left_semi")
+    return single.select("row.*").unionByName(keyed.where("NOT worded").select("row.*"))

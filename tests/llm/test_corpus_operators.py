@@ -311,6 +311,56 @@ def test_near_phrases_are_told_from_exact_ones(spark):
     assert [r.doc_id for r in decontaminate.clean(docs, items).collect()] == [2, 3]
 
 
+def test_near_phrases_without_their_rarest_terms(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    absent = item.replace("zeta", "nowhere")
+    docs = spark.createDataFrame([(1, f"x {item} y"), (2, f"{item} {item}"), (3, "beta " * 3 + "kappa kappa")], "doc_id long, text string")
+    # no text holds `nowhere`; `unseen` and `unread` are too many for a match of eight in ten
+    items = spark.createDataFrame(
+        [(5, absent), (6, absent.replace("beta", "unseen")), (7, absent.replace("beta", "unseen").replace("eta ", "unread "))],
+        "item_id long, text string",
+    )
+    for bound in (decontaminate.BROADCAST, 0):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(decontaminate, "BROADCAST", bound)
+            found = decontaminate.matches(docs, items).select("key", "item", "phrase").distinct().collect()
+        assert len(found) == 4 and {r.item for r in found} == {"5", "6"} and not any(r.phrase for r in found)
+
+
+def test_long_text_beyond_the_bound_is_not_copied_by_word(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST", 0)
+    words = [f"w{k % 997}" for k in range(60_000)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, "w1 w2")], "doc_id long, text string")
+    items = spark.createDataFrame([(5, " ".join(words[500:515])), (6, "w1 w2 w3 w4 w5 w6 w7 w8 w9 none")], "item_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in decontaminate.report(docs, items).collect()}
+    assert got == {1: (60_000, 15 * 60, 1), 2: (2, 0, 0)}
+
+
+def test_lines_of_a_long_text_are_touched_once(spark):
+    import time
+
+    passage = "\n".join(f"line {k} of many" for k in range(30_000))
+    docs = spark.createDataFrame([(1, passage, "en", "s", 0), (2, "head\n" + passage + "\ntail", "en", "s", 0)], "doc_id long, text string, lang string, source string, n_chars long")
+    start = time.perf_counter()
+    got = {r.doc_id: (r.text, r.n_chars) for r in line_dedup.shortened(docs).collect()}
+    assert got == {1: (passage, 0), 2: ("head\ntail", 9)} and time.perf_counter() - start < 30
+
+
+def test_one_row_in_a_third_of_the_table(spark):
+    rows = [(k, f"text {k} of its own here", "en", f"s{k % 2}", 5) for k in range(200)] + [(7, "one row again and again", "en", "s1", 6)] * 100
+    docs = frame(spark, rows)
+    plan = mixing.plan(docs)
+    total = plan.groupBy("mix_row").agg(F.sum("copies").alias("n")).where("n > 0").collect()
+    mixed = mixing.mixed(docs)
+    got = mixed.groupBy("doc_id", "text").agg(F.count("*").alias("n"), F.max("mix_copy").alias("most")).collect()
+    assert sorted(r.n for r in got) == sorted(r.n for r in total)
+    hot = next(r for r in got if r.text.startswith("one"))
+    copies = mixed.where(F.col("text") == hot.text).groupBy("mix_copy").count().collect()
+    assert all(r["count"] == 100 for r in copies if r.mix_copy < hot.most) and hot.most <= 2
+    kept = ngram_join.one_per_group(docs).where("doc_id = 7 AND text LIKE 'one%'").collect()
+    assert len(kept) == 1
+
+
 def test_terms_are_joined_by_shuffle_beyond_the_bound(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BROADCAST", 0)
     docs = spark.createDataFrame([(1, "a b c d e f g h i j k"), (2, "a b c")], "doc_id long, text string")

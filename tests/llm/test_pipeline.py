@@ -1,11 +1,14 @@
 """The corpus pipeline, stage by stage, beside brute force."""
 
 import re
+from functools import reduce
+from operator import and_
 
 import brute
 import corpus_pipeline
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -79,6 +82,23 @@ def test_stages_equal_brute_force(spark, tables, tmp_path):
             kept = got
 
 
+def test_columns_of_the_caller_come_back_unchanged(spark, tables, tmp_path):
+    _, rows, items = tables
+    names = ["lang_conf", "lang_pred", "lang_score", "line_x", "line_key", "join_key", "join_rank", "leak_key", "mix_x", "mix_copy",
+             "mix_row", "row", "key", "worded", "kind", "kept", "every", "starts", "left", "removed", "each", "more", "odd.name"]
+    brute.write(tmp_path / "documents.parquet", rows, **{name: f"of {name}" for name in names})
+    brute.write(tmp_path / "benchmark.parquet", items, pa.schema([("item_id", pa.int64()), ("text", pa.string())]))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet")).withColumn("held", F.struct(F.create_map(F.lit("a"), F.lit(1)).alias("m")))
+    for name, function in corpus_pipeline.STAGES:
+        function(spark, docs, str(tmp_path)).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        if name == "mix":  # the number of the copy takes the place of the caller's column
+            names.remove("mix_copy")
+        assert docs.columns == [*COLUMNS, *names, "held"] + (["mix_copy"] if name == "mix" else [])
+        same = [F.col(f"`{n}`") == F.lit(f"of {n}") for n in names] + [F.col("held.m")["a"] == 1]
+        assert docs.where(~reduce(and_, same)).count() == 0 and docs.count() > 20
+
+
 def test_run_gives_the_last_stage(spark, tables):
     folder, _, _ = tables
     once, again = (brute.in_order(map(tuple, corpus_pipeline.run(spark, folder).collect())) for _ in range(2))
