@@ -58,6 +58,29 @@ def exact_quantile(df: DataFrame, column: str, fraction: float) -> DataFrame:
     return place.select(value.cast(kind).alias("threshold"))
 
 
+SLOT = 10**DIGITS_PER_STEP
+
+
+def unit_counts(df: DataFrame, column: str) -> DataFrame:
+    """``slot, unit, n``: how many rows have each value of a decimal column, in units of
+    its last digit; a slot is a million units. Such counts can be added up."""
+    scale = df.schema[column].dataType.scale
+    units = (F.col(column) * F.lit(10**scale)).cast("bigint")
+    found = df.where(F.col(column).isNotNull()).select(units.alias("units"))
+    return found.groupBy(_slot(SLOT), F.col("units").alias("unit")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def quantile_of_counts(counts: DataFrame, fraction: float, kind: T.DecimalType) -> DataFrame:
+    """The same one row as ``exact_quantile`` of the counted rows."""
+    everything = F.sum("n").over(Window.partitionBy())
+    rank = F.greatest(F.ceil(F.lit(Decimal(str(fraction))) * everything).cast("bigint"), F.lit(1))
+    slots = counts.groupBy("slot").agg(F.sum("n").alias("n"))
+    place = _place_of_rank(slots.select("slot", "n", F.lit(0).alias("before"), rank.alias("rank")))
+    inside = counts.join(F.broadcast(place), "slot").select(F.col("unit").alias("slot"), "n", "before", "rank")
+    value = F.col("slot").cast("decimal(20,0)") / F.lit(Decimal(10**kind.scale))
+    return _place_of_rank(inside).select(value.cast(kind).alias("threshold"))
+
+
 def _slot(width: int) -> Column:
     """Number of the slot: units divided by the width, rounded down. No step of it
     can leave the range of bigint."""

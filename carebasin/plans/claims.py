@@ -7,6 +7,7 @@ writes the tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,64 +54,94 @@ def build_providers(raw: DataFrame) -> DataFrame:
     )
 
 
-def _finish_fact(
-    df: DataFrame, key: tuple[str, str], day: str, amount: str, method: str, settle: Settle
-) -> DataFrame:
-    """Shared tail of the three fact tables.
+def _typed_claims(inpatient: DataFrame, outpatient: DataFrame) -> DataFrame:
+    both = conform.stack(
+        conform.tag(conform.rename_columns(inpatient, schemas.INPATIENT), claim_type="inpatient"),
+        conform.tag(conform.rename_columns(outpatient, schemas.OUTPATIENT), claim_type="outpatient"),
+    )
+    return conform.cast_columns(both, schemas.INPATIENT, schemas.OUTPATIENT)
+
 
-    ``settle`` writes the deduplicated rows once, as the amount threshold and the
-    table itself both read them; ``_as_is`` leaves that out.
-    """
-    business_key, surrogate = key
+def _typed_carrier_claims(raw: DataFrame) -> DataFrame:
     return (
-        df.transform(money.fill_missing_amounts, schemas.FILLED_AMOUNTS)
-        .transform(one_per_key, [business_key])
-        .transform(settle)
-        .transform(claims.add_date_parts, day)
-        .transform(money.clean_amounts, [amount], method=method)
-        .transform(people.add_key, business_key, surrogate)
+        raw.transform(conform.rename_columns, schemas.CARRIER)
+        .transform(conform.cast_columns, schemas.CARRIER)
+        .transform(claims.decode_claim_status)
     )
 
 
+def _typed_prescriptions(raw: DataFrame) -> DataFrame:
+    return raw.transform(conform.rename_columns, schemas.PRESCRIPTION).transform(
+        conform.cast_columns, schemas.PRESCRIPTION
+    )
+
+
+@dataclass(frozen=True)
+class Fact:
+    """How one fact table is made: its raw entities, the steps to typed rows, keys,
+    the date and the amount that count."""
+
+    entities: tuple[str, ...]
+    typed: Callable[..., DataFrame]
+    key: str
+    surrogate: str
+    day: str
+    amount: str
+    stays: bool = False
+
+    def rows(self, *raw: DataFrame) -> DataFrame:
+        """Typed rows with filled amounts, before deduplication."""
+        return self.typed(*raw).transform(money.fill_missing_amounts, schemas.FILLED_AMOUNTS)
+
+    def finished(self, settled: DataFrame, method: str = "exact", threshold: Column | None = None) -> DataFrame:
+        """The table's columns from deduplicated rows."""
+        fact = (
+            settled.transform(claims.add_date_parts, self.day)
+            .transform(money.clean_amounts, [self.amount], method=method, threshold=threshold)
+            .transform(people.add_key, self.key, self.surrogate)
+        )
+        return claims.add_length_of_stay(fact) if self.stays else fact
+
+    def build(self, *raw: DataFrame, method: str, settle: Settle) -> DataFrame:
+        """``settle`` writes the deduplicated rows once, as the amount threshold and the
+        table itself both read them; ``_as_is`` leaves that out."""
+        return self.finished(settle(one_per_key(self.rows(*raw), [self.key])), method)
+
+
+FACTS = {
+    "fact_claims": Fact(
+        ("inpatient_claims", "outpatient_claims"), _typed_claims,
+        "claim_id", "claim_key", "admit_date", "payment_amount", stays=True,
+    ),
+    "fact_carrier_claims": Fact(
+        ("carrier_claims",), _typed_carrier_claims, "claim_id", "claim_key", "service_date", "payment_amount",
+    ),
+    "fact_prescriptions": Fact(
+        ("prescription_drug_events",), _typed_prescriptions,
+        "prescription_id", "prescription_key", "service_date", "total_cost",
+    ),
+}
+
+
 def build_claims(
     inpatient: DataFrame, outpatient: DataFrame, method: str = "exact", settle: Settle = settled
 ) -> DataFrame:
     """Inpatient and outpatient files to one claim fact."""
-    both = conform.stack(
-        conform.tag(conform.rename_columns(inpatient, schemas.INPATIENT), claim_type="inpatient"),
-        conform.tag(conform.rename_columns(outpatient, schemas.OUTPATIENT), claim_type="outpatient"),
-    )
-    typed = conform.cast_columns(both, schemas.INPATIENT, schemas.OUTPATIENT)
-    fact = _finish_fact(
-        typed, ("claim_id", "claim_key"), "admit_date", "payment_amount", method, settle
-    )
-    return claims.add_length_of_stay(fact)
+    return FACTS["fact_claims"].build(inpatient, outpatient, method=method, settle=settle)
 
 
 def build_carrier_claims(
     raw: DataFrame, method: str = "exact", settle: Settle = settled
 ) -> DataFrame:
     """Carrier (professional) claims to their fact."""
-    typed = (
-        raw.transform(conform.rename_columns, schemas.CARRIER)
-        .transform(conform.cast_columns, schemas.CARRIER)
-        .transform(claims.decode_claim_status)
-    )
-    return _finish_fact(
-        typed, ("claim_id", "claim_key"), "service_date", "payment_amount", method, settle
-    )
+    return FACTS["fact_carrier_claims"].build(raw, method=method, settle=settle)
 
 
 def build_prescriptions(
     raw: DataFrame, method: str = "exact", settle: Settle = settled
 ) -> DataFrame:
     """Prescription drug events to their fact."""
-    typed = raw.transform(conform.rename_columns, schemas.PRESCRIPTION).transform(
-        conform.cast_columns, schemas.PRESCRIPTION
-    )
-    return _finish_fact(
-        typed, ("prescription_id", "prescription_key"), "service_date", "total_cost", method, settle
-    )
+    return FACTS["fact_prescriptions"].build(raw, method=method, settle=settle)
 
 
 def build_diagnosis_lookup(raw: DataFrame) -> DataFrame:
