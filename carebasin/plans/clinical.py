@@ -17,6 +17,10 @@ from carebasin.sources.readers import read_bundles
 from carebasin.sources.writers import stage, stages_removed, write_table
 
 
+#: Files of a resource type, at least, that its table's tasks read.
+FILES = 64
+
+
 def flatten_patients(resources: DataFrame) -> DataFrame:
     return flatten(of_type(resources, "Patient"), schemas.PATIENT)
 
@@ -155,9 +159,11 @@ def build_all(
 def stage_resources(bundles: DataFrame) -> DataFrame:
     """Explode the bundles once into folders by resource type.
 
-    The nine builds then read one folder each instead of all documents.
+    The nine builds then read one folder each instead of all documents. Parsing is
+    their main work and compressed text is many times larger when parsed, so a type is
+    spread over ``FILES`` files even if it is small.
     """
-    return stage(explode_entries(bundles), "resources", ["resource_type"])
+    return stage(explode_entries(bundles), "resources", ["resource_type"], spread=FILES)
 
 
 def run(

@@ -7,6 +7,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from carebasin.session import fresh_folder
 from carebasin.sources.readers import read_table
@@ -19,16 +20,23 @@ def write_table(
     mode: str = "overwrite",
     rebalance: bool = True,
     only_written_partitions: bool = False,
+    spread: int = 1,
 ) -> None:
     """Write a Parquet table, Snappy-compressed, in partition folders.
 
     ``rebalance`` gathers each partition's rows into files of the advisory
     size first. Adaptive execution splits a partition that holds much of the
     data over many tasks, so a few partition values do not mean few tasks.
-    ``only_written_partitions`` replaces just the partitions that occur in
+    With ``spread`` the rows of a partition are dealt to as many files at least (or
+    to as many as there are shuffle partitions), so that small data is read by
+    many tasks as well. ``only_written_partitions`` replaces just the partitions that occur in
     ``df`` and leaves the others.
     """
-    if rebalance:
+    if rebalance and spread > 1:
+        # rows are dealt by their content, so that a recomputed task deals them alike
+        dealt = F.pmod(F.xxhash64(*[c for c in df.columns if c not in partition_by]), F.lit(spread))
+        df = df.withColumn("_dealt", dealt).hint("rebalance", *partition_by, "_dealt").drop("_dealt")
+    elif rebalance:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).option(
         "partitionOverwriteMode", "dynamic" if only_written_partitions else "static"
@@ -74,16 +82,16 @@ def stages_removed(spark: SparkSession) -> Iterator[None]:
         _kept.reset(token)
 
 
-def stage(df: DataFrame, label: str = "stage", partition_by: Sequence[str] = ()) -> DataFrame:
+def stage(df: DataFrame, label: str = "stage", partition_by: Sequence[str] = (), spread: int = 1) -> DataFrame:
     """Write a frame once to the shared folder and read it back.
 
     Later steps read only the columns and partitions they need, and a lost
     executor does not bring back the work before this point. Rows of a
     partitioned stage are gathered by partition first: the number of files
-    follows the size of the data, not tasks times partitions.
+    follows the size of the data (and ``spread``), not tasks times partitions.
     """
     path = fresh_folder(df.sparkSession, label)
-    write_table(df, path, partition_by, rebalance=bool(partition_by))
+    write_table(df, path, partition_by, rebalance=bool(partition_by), spread=spread)
     if _kept.get() is not None:
         _kept.get().append(path)
     return read_table(df.sparkSession, path, df.schema)

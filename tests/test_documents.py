@@ -8,6 +8,7 @@ from carebasin.operators import clinical as ops
 from carebasin.operators.documents import explode_entries, flatten, json_schema, of_type
 from carebasin.plans import clinical
 from carebasin.sources.readers import inline_table, read_bundles
+from carebasin.sources.writers import stage
 
 PATIENT = {
     "resourceType": "Patient", "id": "p1", "identifier": [{"value": "MRN1"}],
@@ -231,3 +232,14 @@ def test_clinical_job(spark, tmp_path):
         assert df.schema == schemas.WAREHOUSE[name]
     chronic = {r.medication_request_id: r.is_chronic_med for r in tables["fact_medications"].collect()}
     assert chronic == {"m0": True, "m1": False, "m2": None}
+
+
+def test_staged_resources_are_read_by_several_tasks(spark):
+    rows = [("b", "t", '{"resourceType": "Observation", "id": "%d", "note": "%s"}' % (k, "x" * 400), "Observation") for k in range(8000)]
+    rows += [("b", "t", '{"resourceType": "Patient", "id": "1"}', "Patient")]
+    frame = spark.createDataFrame(rows, "bundle_id string, bundle_timestamp string, resource string, resource_type string")
+    staged = stage(frame, "resources", ["resource_type"], spread=clinical.FILES)
+    one_type = staged.where("resource_type = 'Observation'")
+    per_task = one_type.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(per_task) >= 2 and max(r["count"] for r in per_task) < 8000
+    assert sorted(map(tuple, staged.collect())) == sorted(rows)
