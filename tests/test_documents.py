@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 import pytest
@@ -235,7 +236,9 @@ def test_clinical_job(spark, tmp_path):
 
 
 def test_staged_resources_are_read_by_several_tasks(spark):
-    rows = [("b", "t", '{"resourceType": "Observation", "id": "%d", "note": "%s"}' % (k, "x" * 400), "Observation") for k in range(8000)]
+    # some MB that do not compress
+    note = lambda k: "".join(hashlib.sha256(f"{k}-{j}".encode()).hexdigest() for j in range(12))
+    rows = [("b", "t", '{"resourceType": "Observation", "id": "%d", "note": "%s"}' % (k, note(k)), "Observation") for k in range(8000)]
     rows += [("b", "t", '{"resourceType": "Patient", "id": "1"}', "Patient")]
     frame = spark.createDataFrame(rows, "bundle_id string, bundle_timestamp string, resource string, resource_type string")
     staged = stage(frame, "resources", ["resource_type"], spread=clinical.FILES)
