@@ -1,4 +1,4 @@
-"""Facts cleaned from files that arrive in three runs, beside the SQL of one full build."""
+"""Facts and clinical tables of files that arrive in three runs, beside the SQL of one full build."""
 
 from __future__ import annotations
 
@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from carebasin import schemas
 from carebasin.plans.claims import FACTS
 from carebasin.session import fresh_folder
-from carebasin.streaming import cleaning
+from carebasin.streaming import bundles, cleaning
 from checks import expected, standins
-from checks.registry import NULLABLE, add
+from checks.files import contents, contents_sql
+from checks.registry import NULLABLE, add, check
+from checks.tables import _as_of
 
 RUNS = 3
 
@@ -34,3 +36,15 @@ for _table in FACTS:
     _name = _table.removeprefix("fact_") + "_stream"
     NULLABLE[_name] = NULLABLE.get(_table, "")
     add(_name, lambda spark, sf_dir, table=_table: cleaned(spark, sf_dir, table), expected.table_sql(_table))
+
+
+@check(" UNION ALL ".join(map(contents_sql, schemas.CLINICAL_LAKE)))
+def clinical_stream(spark, sf_dir):
+    """All bundles in three deliveries; each batch changes the nine tables together."""
+    landing, base = fresh_folder(spark, "bundles"), fresh_folder(spark, "bundle-stream")
+    job = bundles.BundleStream(landing, f"{base}/clinical", f"{base}/checkpoint", one_per_line=True, as_of=_as_of(), fan_in=2)
+    text = standins.bundle_text(standins.bundles(spark, sf_dir))
+    for run in range(RUNS):
+        text.where(F.pmod(F.xxhash64("value"), F.lit(RUNS)) == run).write.text(f"{landing}/run={run}")
+        bundles.run_bundles(spark, job)
+    return contents({name: bundles.read_clinical(spark, job, name) for name in schemas.CLINICAL_LAKE})
