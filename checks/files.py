@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import time
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,8 +16,8 @@ from carebasin.operators.profile import row_counts
 from carebasin.plans import claims, clinical
 from carebasin.session import fresh_folder
 from carebasin.sources import catalog, readers
-from carebasin.sources.writers import write_table
-from carebasin.streaming import feeds
+from carebasin.sources.writers import matching_folders, rename_folder, write_table
+from carebasin.streaming import feeds, status
 from checks import expected, standins
 from checks.registry import check
 from checks.standins import given
@@ -219,6 +221,28 @@ def stream_file_load(spark, sf_dir):
     return feeds.loaded_rows(spark, feed)
 
 
+@check(f"""
+    SELECT encounter_class, count(*) AS row_count, 1::BIGINT AS unreadable_files
+    FROM ({expected.TABLE_SQL['fact_encounters']}) t GROUP BY 1
+""")
+def feed_quarantine(spark, sf_dir):
+    """All files of a table beside one that is no Parquet file: the others are loaded whole."""
+    source, base = fresh_folder(spark, "arrivals"), fresh_folder(spark, "feed")
+    feed = feeds.Feed(
+        "fact_encounters", source, f"{base}/fact_encounters", f"{base}/ledger", f"{base}/checkpoint",
+        schemas.WAREHOUSE["fact_encounters"], quarantine=f"{base}/quarantine",
+    )
+    write_table(Lake(spark, sf_dir)["fact_encounters"], source, schemas.CLINICAL_LAKE["fact_encounters"][1])
+    # text of the table in a file with the name of a Parquet file
+    broken = fresh_folder(spark, "broken")
+    given(spark, sf_dir, "events").select(F.col("event_id").cast("string")).coalesce(1).write.text(broken)
+    folder = next(iter(matching_folders(spark, f"{source}/visit_year=*/visit_month=*")))
+    rename_folder(spark, matching_folders(spark, f"{broken}/part-*")[0], f"{folder}/part-broken.parquet")
+    feeds.run_feed(spark, feed)
+    counts = feeds.loaded_rows(spark, feed).groupBy("encounter_class").agg(F.count(F.lit(1)).alias("row_count"))
+    return counts.withColumn("unreadable_files", F.lit(feeds.quarantined(spark, feed).count()).cast("bigint"))
+
+
 @check("SELECT 'fact_encounters' AS table_name, count(*)::BIGINT AS row_count FROM events")
 def load_history(spark, sf_dir):
     history = feeds.load_history(spark, _feed(spark, sf_dir).ledger, "fact_encounters")
@@ -233,6 +257,30 @@ def feed_status(spark, sf_dir):
     )
 
 
+@check("SELECT 'ended' AS state, count(*)::BIGINT AS input_rows FROM events UNION ALL SELECT 'failed', 0")
+def past_feed_runs(spark, sf_dir):
+    """A feed that ended and one that failed, from what their runs wrote down."""
+    folder = fresh_folder(spark, "feed-events")
+    log = status.watch_feeds(spark, folder)
+    try:
+        feed = _feed(spark, sf_dir)
+        broken = replace(feed, target=f"{feed.target}-strict", checkpoint=f"{feed.checkpoint}-strict", strict=True)
+        dates = [T.StructField(f.name, T.DateType() if f.name == "encounter_class" else f.dataType) for f in feed.schema]
+        broken = replace(broken, schema=T.StructType(dates), source_schema=feed.schema)
+        try:
+            feeds.run_feed(spark, broken)
+        except Exception:  # the failure is what is recorded
+            pass
+        for _ in range(300):  # events follow their stream a moment later
+            runs = status.past_runs(spark, folder)
+            if sorted(r.state for r in runs.collect()) == ["ended"] * 3 + ["failed"]:
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(log)
+    return runs.groupBy("state").agg(F.sum("input_rows").alias("input_rows"))
+
+
 @check(" UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS row_count FROM ({expected.TABLE_SQL[t]}) t" for t in expected.TABLE_SQL
 ))
