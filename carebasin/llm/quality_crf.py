@@ -6,13 +6,15 @@ document carrying the document's label. A document's raw quality is the mean of
 its lines' forward-backward marginals of "good", weighted by line length; a
 logistic curve fitted on the same sample turns it into a probability.
 
-Learning uses at most ``SAMPLE`` labelled documents (those with the smallest hash
-of their id) and at most ``SAMPLE_LINES`` lines of each, in runs of ``RUN`` lines
-spread evenly over the text; the bounds keep the sample on the driver small. All
-documents are scored over their whole text.
+Learning uses whole texts of at most ``SAMPLE`` labelled documents, those with the
+smallest hash of their id: as many of them, in that order, as have ``SAMPLE_LINES``
+lines together. These two parameters bound the sample on the driver, whatever the
+texts' lengths; a text that is longer than the whole bound is passed over. Only line
+counts are looked at to choose them. All documents are scored over their whole text.
 
 Defined cases: null and empty texts are one empty line and get a score; several
-labels of one document count as the lowest; rows without label, or labels
+labels of one document count as the lowest; of the rows that share a sampled id, the one
+with the smallest hash of its text teaches; rows without label, or labels
 without document, teach nothing; without labels of both kinds the score is the
 share of good labels, or 1/2 without any. Repeated rows agree. Extra columns
 are ignored.
@@ -22,13 +24,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from carebasin.llm.common import SPACE, Texts, chunks, fold, powers, mix, BYTE_CODE
 
 SAMPLE = 3000
-SAMPLE_LINES = 192
+SAMPLE_LINES = 60_000
+#: Lines of a training chain: a text is learned as runs of this length that cover it.
 RUN = 32
 STEPS = 250
 RATE = 0.08
@@ -201,32 +204,45 @@ def fit(features, size, lengths, first, labels, documents) -> Field:
     return field
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lines_in_all: int = SAMPLE_LINES) -> Field:
     """Fit on a bounded sample of the labelled rows whose id's fold is not held out."""
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").where(fold("doc_id", 4) != 2)
     known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select(F.col("doc_id").alias("labelled"), "quality")
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    # one row an id, chosen by hashes alone: a repeated id does not enlarge the sample
+    lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+    rows = texts.select("labelled", F.xxhash64(text).alias("text_hash"), lines.cast("long").alias("lines"))
+    rows = rows.groupBy("labelled").agg(F.min(F.struct("text_hash", "lines")).alias("row"))
+    rows = rows.where(F.col("row.lines") <= lines_in_all)
+    so_far = F.sum("row.lines").over(Window.orderBy(F.xxhash64("labelled"), "labelled").rowsBetween(Window.unboundedPreceding, 0))
+    kept = rows.withColumn("so_far", so_far).where(F.col("so_far") <= lines_in_all)  # at most `sample` rows
+    kept = kept.select(F.col("labelled").alias("id"), F.col("row.text_hash").alias("text_hash"))
+    texts = texts.join(F.broadcast(kept), (F.col("id") == F.col("labelled")) & (F.col("text_hash") == F.xxhash64(text)))
     texts = texts.select(F.xxhash64("doc_id").alias("document"), "text", F.col("quality").cast("int").alias("label"))
 
-    def runs(batches):
+    def whole(batches):
+        held = set()  # a repeated row of a sampled text leaves a task once
         for piece in chunks(batches):
             features, size, first = line_features(piece)
             document, label = (piece.batch.column(c).to_pylist() for c in ("document", "label"))
             rows = []
             for k in range(len(piece)):
-                begins = np.arange(first[k], first[k + 1], RUN)
-                most = SAMPLE_LINES // RUN
-                if len(begins) > most:
-                    begins = begins[np.linspace(0, len(begins) - 1, most).astype(int)]
-                for b in begins:
+                if document[k] in held:
+                    continue
+                held.add(document[k])
+                for b in range(first[k], first[k + 1], RUN):
                     e = min(b + RUN, first[k + 1])
-                    rows.append((document[k], label[k], int(e - b), features[b:e].astype(np.float32).tobytes(), size[b:e].astype(np.float32).tobytes()))
+                    rows.append((document[k], int(b - first[k]), label[k], int(e - b), features[b:e].astype(np.float32).tobytes(), size[b:e].astype(np.float32).tobytes()))
             if rows:
-                yield pa.record_batch([pa.array(x) for x in zip(*rows)], ["document", "label", "n", "features", "size"])
+                yield pa.record_batch([pa.array(x) for x in zip(*rows)], ["document", "line", "label", "n", "features", "size"])
 
-    found = texts.mapInArrow(runs, "document long, label long, n long, features binary, size binary").toArrow()
-    found = found.sort_by([("document", "ascending"), ("features", "ascending")])
+    found = texts.mapInArrow(whole, "document long, line long, label long, n long, features binary, size binary")
+    # equal rows of one document in several tasks are one again before they reach the driver
+    found = found.groupBy("document", "line").agg(F.min(F.struct("label", "n", "features", "size")).alias("r"))
+    found = found.select("document", "line", "r.*").toArrow()
+    found = found.sort_by([("document", "ascending"), ("line", "ascending")])
     lengths, labels_, document = (np.asarray(found.column(c).combine_chunks(), np.int64) for c in ("n", "label", "document"))
     features = np.frombuffer(b"".join(found.column("features").to_pylist()), np.float32).reshape(-1, FEATURES).astype(float)
     size = np.frombuffer(b"".join(found.column("size").to_pylist()), np.float32).astype(float)

@@ -1,9 +1,9 @@
 """Quality rules: base counts per document, and lines that a host repeats.
 
 Lines are normalised (ASCII lower case, digits as 0, blanks as one space) and
-hashed. Per host, each line's distinct documents are counted; lines in more than
-``max(MIN_DOCS, MAX_SHARE * documents of the host)`` documents are removed, and
-a document that loses more than half of its words is depleted and rejected.
+hashed. Per host, each line's distinct documents are counted. Lines in more than
+``MANY_DOCS`` documents are removed, and in small hosts those in more than ``MIN_DOCS``
+documents that are more than ``MAX_SHARE`` of the host's: either limit is enough. A document that loses more than half of its words is depleted and rejected.
 
 Exact copies of a text in one host count as one document: a page that is merely
 stored often is the business of deduplication. The text is read once; what the
@@ -26,9 +26,11 @@ from carebasin.sources.writers import stage
 MIN_WORDS = 50
 MAX_REPEATED = 50
 #: A line is removed from a host if more documents hold it than this number
-#: and this share of the host's documents.
+#: and this share of the host's documents,
 MIN_DOCS = 20
 MAX_SHARE = 0.1
+#: or more than this number, however large the host is.
+MANY_DOCS = 500
 #: A document is depleted if less than this share of its words is left.
 MIN_LEFT = 0.5
 
@@ -90,20 +92,22 @@ def measured(docs: DataFrame) -> DataFrame:
     )
 
 
-def frequent_lines(slim: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
-    """``host, line, n_docs`` of the lines above their host's limit."""
+def frequent_lines(slim: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
+                   many_docs: int = MANY_DOCS) -> DataFrame:
+    """``host, line, n_docs`` of the lines above one of their host's limits."""
     texts = slim.select("host", "text_hash").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
     lines = slim.select("host", "text_hash", F.explode("lines.line").alias("line")).distinct()
-    counted = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") > min_docs)
-    over = counted.join(texts, "host").where(F.col("n_docs") > F.lit(max_share) * F.col("host_docs"))
+    counted = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") > min(min_docs, many_docs))
+    share = (F.col("n_docs") > min_docs) & (F.col("n_docs") > F.lit(max_share) * F.col("host_docs"))
+    over = counted.join(texts, "host").where(share | (F.col("n_docs") > many_docs))
     return over.select("host", "line", "n_docs")
 
 
 def quality_rules(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
-                  min_left: float = MIN_LEFT) -> DataFrame:
+                  min_left: float = MIN_LEFT, many_docs: int = MANY_DOCS) -> DataFrame:
     """Base counts, words in removed lines, and the verdict, one row a document."""
     slim = stage(measured(docs), "rules")
-    frequent = stage(frequent_lines(slim, min_docs, max_share), "rules-lines")
+    frequent = stage(frequent_lines(slim, min_docs, max_share, many_docs), "rules-lines")
     held = slim.select("row", "host", F.explode("lines").alias("x")).select("row", "host", "x.line", "x.n")
     lost = held.join(frequent, ["host", "line"]).groupBy("row").agg(
         F.sum("n").alias("n_removed_words"), F.count(F.lit(1)).alias("n_removed_lines")
@@ -142,7 +146,8 @@ held AS (
 hosts AS (SELECT host, count(DISTINCT text) AS host_docs FROM d GROUP BY host),
 frequent AS (
     SELECT host, line FROM held JOIN hosts USING (host) GROUP BY host, line, host_docs
-    HAVING count(DISTINCT text) > {MIN_DOCS} AND count(DISTINCT text) > {MAX_SHARE} * host_docs),
+    HAVING count(DISTINCT text) > {MANY_DOCS}
+        OR count(DISTINCT text) > {MIN_DOCS} AND count(DISTINCT text) > {MAX_SHARE} * host_docs),
 lost AS (SELECT r, sum(n) AS words, count(*) AS lines FROM held JOIN frequent USING (host, line) GROUP BY r),
 base AS (
     SELECT doc_id, len(d.words) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,

@@ -220,7 +220,7 @@ def write_archives(pages: DataFrame) -> DataFrame:
                 reference = reference and (reference["id"],)
                 records.append(encode_record(page_id.as_py(), url.as_py(), payload, digest(payload), reference))
                 payloads.append(payload)
-                size += len(payload)
+                size += len(records[-1])  # with its headers, so that many empty pages fill an archive too
                 if size >= ARCHIVE_BYTES:
                     yield close()
                     records, payloads, size = [], [], 0

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import zlib
 
 import brute
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from carebasin.llm import decontaminate, language, lattice_lm, line_dedup, mixing, ngram_join, quality_crf, suffix_dedup, warc
+from carebasin.llm import decontaminate, language, lattice_lm, line_dedup, mixing, ngram_join, quality_crf, quality_rules, suffix_dedup, warc
 from carebasin.llm.common import Texts, chunks, words
 from carebasin.llm.components import connected
 
@@ -373,3 +374,47 @@ def test_lines_left_of_a_text(spark):
     rows = [(1, "a\nb\nc\nd", "en", "s", 7), (2, "x\na\nb\nc\ny", "en", "s", 9), (3, "a\nb\nc", "en", "s", 5), (4, None, "en", "s", None)]
     got = {r.doc_id: (r.text, r.n_chars) for r in line_dedup.shortened(frame(spark, rows)).collect()}
     assert got == {1: ("a\nb\nc\nd", 7), 2: ("x\ny", 3), 4: (None, None)}
+
+
+def test_quality_sample_is_one_row_an_id_and_whole_texts(spark, monkeypatch):
+    """A repeated id and repeated rows do not enlarge the sample; lines in all are bounded."""
+    seen = {}
+
+    def fit(features, size, lengths, first, labels, documents):
+        seen.update(lines=len(features), runs=len(lengths), documents=len(set(documents.tolist())), bytes=size.sum())
+        return quality_crf.Field()
+
+    monkeypatch.setattr(quality_crf, "fit", fit)
+    long = "\n".join(f"Line {k} of a long text." for k in range(300))
+    rows = [(1, long)] * 50 + [(1, long + "\nother")] * 50 + [(3, "Short.\nText.")] * 9 + [(4, None), (None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 30)] + [(1, 0), (None, 1)], "doc_id long, quality int")
+    taught = [k for k in (1, 3, 4) if zlib.crc32(str(k).encode()) % 4 != 2]
+    per_id = {1: (300, 301), 3: (2,), 4: (1,)}
+    quality_crf.train(docs, labels)
+    assert seen["documents"] == len(taught)
+    assert seen["lines"] in {sum(x) for x in itertools.product(*[per_id[k] for k in taught])}
+    quality_crf.train(docs, labels, lines_in_all=10)
+    assert seen["lines"] == sum(per_id[k][0] for k in taught if k != 1)
+
+
+def test_empty_pages_fill_archives_too(spark, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 20_000)
+    pages = spark.createDataFrame([(k, f"http://h/{k}", None) for k in range(600)], "page_id long, url string, html string")
+    archives = warc.write_archives(pages.coalesce(1))
+    assert archives.count() > 4
+    assert warc.read_archives(archives).where("error IS NULL AND payload_bytes = 0").select("record_id").distinct().count() == 600
+
+
+def test_a_line_of_many_documents_goes_from_a_large_host(spark):
+    """Far below the share, above the number; and the other way round."""
+    letters = str.maketrans("0123456789", "abcdefghij")  # digits are alike to the rule
+    words = lambda k: " ".join(f"w{k}x{i}".translate(letters) for i in range(60))
+    shared = " ".join(f"notice{i}" for i in range(80))
+    rows = [(k, words(k) + ("\n" + shared if k < 40 else ""), "big") for k in range(900)]
+    rows += [(1000 + k, words(k) + ("\n" + shared if k < 30 else ""), None) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = quality_rules.quality_rules(docs, many_docs=500)
+    assert {r.doc_id for r in kept.where("NOT kept").collect()} == set(range(1000, 1030))
+    kept = quality_rules.quality_rules(docs, many_docs=35)
+    assert {r.doc_id for r in kept.where("NOT kept").collect()} == set(range(40)) | set(range(1000, 1030))
