@@ -16,8 +16,8 @@ string occurs. That is one suffix in about 35 bytes.
    hold the same string; all but its earliest start are repeated. Boundaries
    never cut equal leading bytes, and a bucket is read in pieces that carry the
    strings seen so far across the cut, so pieces compare as one bucket.
-   Suffixes whose leading bytes are those of more than ``HOT`` tokens do not go to
-   a bucket: each string of ``LENGTH`` bytes through such a token is hashed, equal
+   Suffixes whose leading bytes are those of more than ``HOT`` tokens (a fixed
+   number, whatever the size of the input) do not go to a bucket: each string of ``LENGTH`` bytes through such a token is hashed, equal
    ones of a task are merged, and the rest meet by hash, so that no task holds or
    sorts all contexts of a common phrase.
 4. Covered spans are merged per text.
@@ -61,8 +61,7 @@ BUCKET, SORTED = 100_000, 30_000
 #: Distinct contexts that a task holds to combine equal ones.
 COMBINED = 100_000
 #: Tokens with equal leading bytes from which their strings are hashed one by one.
-#: The bound rises so that at most ``HOT_GRAMS`` grams are told to all tasks.
-HOT, HOT_GRAMS = 30_000, 1 << 16
+HOT = 30_000
 #: Contexts of hot grams whose strings are hashed at once.
 HASHED = 5_000
 
@@ -182,10 +181,16 @@ def repeated_grams(texts: DataFrame) -> DataFrame:
     return found.mapInArrow(pick, "unit long, gram long, n long")
 
 
-def hot_grams(grams: DataFrame, total: int) -> np.ndarray:
-    """Grams of more tokens than one task should meet, sorted."""
-    counted = grams.groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") > max(HOT, total // HOT_GRAMS))
-    return np.sort(np.asarray(counted.select("gram").toArrow().column("gram").combine_chunks(), np.int64))
+def grams_of_units(grams: DataFrame) -> DataFrame:
+    """``unit, grams, hot``: the repeated grams of each unit, and those of them that
+    more than ``HOT`` tokens have. The latter are written, so that Spark knows
+    their size and joins them by shuffle where they are too many to broadcast."""
+    counted = grams.groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") > HOT)
+    hot = stage(counted.select("gram", F.lit(True).alias("is_hot")), "suffix-hot")
+    marked = grams.select("unit", "gram").join(hot, "gram", "left")
+    return marked.groupBy("unit").agg(
+        F.collect_set("gram").alias("grams"), F.collect_set(F.when(F.col("is_hot"), F.col("gram"))).alias("hot")
+    )
 
 
 def packed_units(texts: DataFrame) -> DataFrame:
@@ -264,12 +269,11 @@ ROW = "bucket int, gram long, string long, no_id boolean, id {kind}, unit long,
 NAMES = ["bucket", "gram", "string", "no_id", "id", "unit", "at", "left_bytes", "context", "begin", "stop"]
 
 
-def contexts(units: DataFrame, splitters: np.ndarray, hot: np.ndarray, kind: str) -> DataFrame:
+def contexts(units: DataFrame, splitters: np.ndarray, kind: str) -> DataFrame:
     """One row per suffix to sort: its bytes and those before it, and whose it
     is. Suffixes with the context of an earlier one of the task are given as
     covered spans (``begin``, ``stop``) instead, and those of hot grams as a row
     per ``string`` that starts at ``at``."""
-    hot_set = frozenset(hot.tolist())
 
     def cut(batches):
         held: dict[bytes, tuple] = {}
@@ -281,7 +285,7 @@ def contexts(units: DataFrame, splitters: np.ndarray, hot: np.ndarray, kind: str
         def flush():
             rows, common = [], []
             for r in held.values():
-                (common if r[0] in hot_set else rows).append(r)
+                (common if r[7] else rows).append(r)
             common.sort(key=rank)
             for k in range(0, len(common), HASHED):
                 part = common[k: k + HASHED]
@@ -315,18 +319,19 @@ def contexts(units: DataFrame, splitters: np.ndarray, hot: np.ndarray, kind: str
 
         for batch in batches:
             id_type = batch.column("id").type
-            for unit, no_id, id_, packed, grams in zip(
+            for unit, no_id, id_, packed, grams, hot in zip(
                 batch.column("unit").to_pylist(), batch.column("no_id").to_pylist(), batch.column("id").to_pylist(),
-                batch.column("packed"), batch.column("grams"),
+                batch.column("packed"), batch.column("grams"), batch.column("hot").to_pylist(),
             ):
                 raw = unpacker.decompress(packed.as_buffer())
                 at, gram = tokens(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+                hot = frozenset(hot)
                 wanted = np.isin(gram, np.asarray(grams.values).view(np.uint64))
                 for q, g in zip(at[wanted].tolist(), gram[wanted].view(np.int64).tolist()):
                     low = max(0, q - BEFORE)
                     context = raw[low: q + LENGTH]
                     key = context + bytes([q - low])
-                    mine = (g, no_id, id_, unit, q, q - low, context)
+                    mine = (g, no_id, id_, unit, q, q - low, context, g in hot)
                     other = held.get(key)
                     if other is not None:
                         if rank(mine) < rank(other):
@@ -477,9 +482,9 @@ def deduplicated(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     grams = stage(repeated_grams(texts), "suffix-grams")
     total = grams.count()
     splitters = sampled_splitters(texts, firsts, total // BUCKET + 1)
-    listed = grams.groupBy("unit").agg(F.collect_set("gram").alias("grams"))
-    units = packed_units(texts).join(listed.hint("merge"), "unit").join(firsts, "unit")
-    spans = stage(covered(contexts(units.select("unit", "no_id", "id", "packed", "grams"), splitters, hot_grams(grams, total), kind)), "suffix-spans")
+    units = packed_units(texts).join(grams_of_units(grams).hint("merge"), "unit").join(firsts, "unit")
+    units = units.select("unit", "no_id", "id", "packed", "grams", "hot")
+    spans = stage(covered(contexts(units, splitters, kind)), "suffix-spans")
     by_unit = spans.groupBy("unit").agg(F.collect_list(F.struct("begin", "stop")).alias("spans"))
     left = packed_units(texts).join(by_unit.hint("merge"), "unit")
     return firsts, reduced(left.select("unit", "packed", "spans"))
