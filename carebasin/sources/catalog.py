@@ -59,7 +59,8 @@ def drop_database(spark: SparkSession, name: str) -> None:
 
 
 def truncate_tables(spark: SparkSession, database: str, names: Iterable[str] | None = None) -> None:
-    """Empty the tables before a full reload. Feeds need a new checkpoint then."""
+    """Empty the tables before a full reload. Feeds need a new checkpoint then;
+    ``streaming.reloads`` changes rows and checkpoints in one step."""
     for name in names or list_tables(spark, database):
         spark.sql(f"TRUNCATE TABLE `{database}`.`{name}`")
 

@@ -102,13 +102,18 @@ def publish(spark: SparkSession, root: str, version: Version) -> None:
     rename_folder(spark, hidden, final)
 
 
+def numbers(spark: SparkSession, root: str) -> list[int]:
+    """The numbers of all versions, in order."""
+    return sorted(int(p.rsplit("/", 1)[1].removesuffix(".json")) for p in matching_folders(spark, f"{root}/manifest/*.json"))
+
+
 def retire(spark: SparkSession, root: str, keep: int = 2) -> None:
     """Remove manifests but the newest ``keep``, and folders that none of those names.
     Readers of older versions must have ended."""
-    numbers = sorted(int(p.rsplit("/", 1)[1].removesuffix(".json")) for p in matching_folders(spark, f"{root}/manifest/*.json"))
-    kept = [latest(spark, root, before=n + 1) for n in numbers[-keep:]]
+    found = numbers(spark, root)
+    kept = [latest(spark, root, before=n + 1) for n in found[-keep:]]
     used = {f"{t}/v={v}/{folder}" for x in kept for t, held in x.tables.items() for folder, v in held.items()}
-    for number in numbers[:-keep]:
+    for number in found[:-keep]:
         remove_folder(spark, f"{root}/manifest/{number}.json")
     for table in {t for x in kept for t in x.tables}:
         for path in matching_folders(spark, f"{root}/{table}/v=*"):

@@ -16,8 +16,8 @@ from carebasin.operators.profile import row_counts
 from carebasin.plans import claims, clinical
 from carebasin.session import fresh_folder
 from carebasin.sources import catalog, readers
-from carebasin.sources.writers import matching_folders, rename_folder, write_table
-from carebasin.streaming import feeds, status
+from carebasin.sources.writers import matching_folders, remove_folder, rename_folder, write_table
+from carebasin.streaming import feeds, reloads, status
 from checks import expected, standins
 from checks.registry import check
 from checks.standins import given
@@ -243,6 +243,43 @@ def feed_quarantine(spark, sf_dir):
     return counts.withColumn("unreadable_files", F.lit(feeds.quarantined(spark, feed).count()).cast("bigint"))
 
 
+_RELOADED = f"SELECT encounter_class, count(*) AS row_count FROM ({expected.TABLE_SQL['fact_encounters']}) t"
+
+
+@check(f"""
+    SELECT 'loaded' AS state, * FROM ({_RELOADED} WHERE encounter_class IS DISTINCT FROM 'EMER' GROUP BY 1) a
+    UNION ALL SELECT 'failed', * FROM ({_RELOADED} WHERE encounter_class IS DISTINCT FROM 'EMER' GROUP BY 1) b
+    UNION ALL SELECT 'reloaded', * FROM ({_RELOADED} GROUP BY 1) c
+""")
+def feed_reload(spark, sf_dir):
+    """A table before a reload, after one that fails at a broken file, and after one that succeeds."""
+    source, root = fresh_folder(spark, "arrivals"), fresh_folder(spark, "reloads")
+    feed = feeds.Feed("fact_encounters", source, "", "", "", schemas.WAREHOUSE["fact_encounters"])
+    house = reloads.Warehouse(root, {"fact_encounters": feed})
+    encounters, partition_by = Lake(spark, sf_dir)["fact_encounters"], schemas.CLINICAL_LAKE["fact_encounters"][1]
+
+    def state(name):
+        counts = reloads.rows(spark, house, "fact_encounters").groupBy("encounter_class")
+        return counts.agg(F.count(F.lit(1)).alias("row_count")).withColumn("state", F.lit(name))
+
+    write_table(encounters.where(~F.col("encounter_class").eqNullSafe("EMER")), source, partition_by)
+    reloads.load(spark, house)
+    states = [state("loaded")]
+    write_table(encounters, source, partition_by)  # the prefix is built again, as a whole
+    broken = f"{source}/visit_year=2000/visit_month=1"
+    given(spark, sf_dir, "events").select(F.col("event_id").cast("string")).coalesce(1).write.text(broken)
+    rename_folder(spark, matching_folders(spark, f"{broken}/part-*")[0], f"{broken}/part-broken.parquet")
+    try:
+        reloads.reload(spark, house)
+        raise AssertionError("the broken file was loaded")
+    except feeds.FeedErrors:
+        states.append(state("failed"))
+    remove_folder(spark, broken)
+    reloads.reload(spark, house)
+    states.append(state("reloaded"))
+    return states[0].unionByName(states[1]).unionByName(states[2])
+
+
 @check("SELECT 'fact_encounters' AS table_name, count(*)::BIGINT AS row_count FROM events")
 def load_history(spark, sf_dir):
     history = feeds.load_history(spark, _feed(spark, sf_dir).ledger, "fact_encounters")
