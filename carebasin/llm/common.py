@@ -69,6 +69,26 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     )
 
 
+#: Bins of counts for each doubling, in ``most_frequent``.
+COUNT_BINS = 64
+
+
+def most_frequent(counted: DataFrame, limit: int, count: str = "n") -> DataFrame:
+    """Rows of the greatest counts, at most ``limit`` of them. Rows are told apart by
+    bins of their count (one for each small count), and a bin comes whole or not at
+    all: the bound is found from a few thousand bin sizes, so no task merges or
+    sorts the rows. ``counted`` is read twice and should be written."""
+    place = F.floor(F.log2(count) * COUNT_BINS)
+    sizes = counted.groupBy(place.alias("place")).agg(F.count(F.lit(1)).alias("rows")).where("place IS NOT NULL")
+    taken, bound = 0, None
+    for row in sorted(sizes.collect(), reverse=True):
+        taken += row.rows
+        if taken > limit:
+            break
+        bound = row.place
+    return counted.where(F.lit(False) if bound is None else place >= bound)
+
+
 class Texts:
     """Some rows of a batch: their texts as one byte array with offsets."""
 

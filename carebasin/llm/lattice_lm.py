@@ -12,8 +12,8 @@ corpus then reweights the pieces: expected piece counts over all ways of all
 distinct training words (one forward-backward pass, weighted by the words'
 counts) are added to ``PRIOR`` times the starting weights.
 
-Word counts of the corpus are tables and grow with it. The ``TOP`` most frequent
-words travel to the tasks as a table of fixed size; all other words of the
+Word counts of the corpus are tables and grow with it. The most frequent
+words, ``TOP`` at most, travel to the tasks as a table of fixed size; all other words of the
 texts are counted per text and joined with the counts, and their parts of the
 base score are summed up again, so the result does not depend on ``TOP``.
 
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carebasin.llm.common import LOWERED, Texts, chunks, fold, row_key, words
+from carebasin.llm.common import LOWERED, Texts, chunks, fold, most_frequent, row_key, words
 from carebasin.sources.writers import stage
 
 #: The vocabulary, a sentencepiece model among the installed public tokenizers.
@@ -297,7 +297,7 @@ def score_texts(docs: DataFrame, training: DataFrame, path: str | None = None) -
     # a text goes on or ends after each word, as often as the training texts did
     going = np.log((n_all - n_ends + 1) / (n_all + 2))
     ending = np.log((n_ends + 1) / (n_all + 2))
-    top = counts.where(F.col("hash") != END).orderBy(F.desc("n"), "hash").limit(TOP).select("hash", "n").toArrow()
+    top = most_frequent(counts.where(F.col("hash") != END).select("hash", "n"), TOP).toArrow()
     top_hash = np.asarray(top.column("hash").combine_chunks(), np.int64).view(np.uint64)
     order = np.argsort(top_hash)
     top_hash, top_n = top_hash[order], np.asarray(top.column("n").combine_chunks(), np.int64)[order]

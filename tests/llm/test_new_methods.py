@@ -1,6 +1,7 @@
 """Periodic runs, b-bit MinHash groups and token alignment, beside brute force."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -13,7 +14,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from carebasin.llm import bbit_minhash, periodic_runs, token_alignment
+from carebasin.llm import bbit_minhash, common, lattice_lm, periodic_runs, token_alignment
 from carebasin.llm.queries import QUERIES
 
 CASED = re.compile(r"[^\x20\x09-\x0D]+")
@@ -300,3 +301,30 @@ def test_overlaps_count_shared_bytes():
     links = list(zip(got.overlaps.row_of_entry().tolist(), got.overlaps.columns.tolist(), got.overlaps.values.tolist()))
     assert links == [(0, 0, 1), (0, 1, 1), (1, 1, 2), (1, 2, 1), (2, 2, 1)]
     assert got.n_groups == 1 and got.links.sum() == 9
+
+
+def test_most_frequent_rows_by_bins_of_counts(spark):
+    rows = [(k, n) for k, n in enumerate([1] * 50 + [2] * 9 + [3, 3, 900, 1000, 10**12])]
+    counted = spark.createDataFrame(rows, "hash long, n long")
+    got = lambda limit: sorted(r.n for r in common.most_frequent(counted, limit).collect())
+    assert got(100) == sorted(n for _, n in rows)
+    assert got(63) == sorted(n for _, n in rows if n > 1)  # the bin of ones does not fit
+    assert got(4) == [900, 1000, 10**12]
+    assert got(1) == [10**12] and got(0) == []
+    assert common.most_frequent(counted.limit(0), 5).count() == 0
+
+
+@pytest.mark.parametrize("top", [0, 7, 1 << 17])
+def test_scores_do_not_depend_on_the_words_told_to_tasks(spark, monkeypatch, top):
+    texts = ["the cat sat on the mat", "the dog", "", None, "a Cat and a dog and the end", "unseen words here"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    monkeypatch.setattr(lattice_lm, "TOP", top)
+    got = {r.doc_id: r for r in lattice_lm.score_texts(docs, docs.where("doc_id <> 5")).collect()}
+    counts = Counter(w for t in texts[:5] for w in (t or "").lower().split())
+    n_all = sum(counts.values()) + 5
+    below = math.log10(n_all + 0.5 * (len(counts) + 2))
+    for k, text in enumerate(texts):
+        words_ = (text or "").lower().split()
+        base = sum(math.log10(counts[w] + 0.5) - below for w in words_) + math.log10(5.5) - below
+        assert abs(got[k].base_score - base) < 1e-9
+        assert got[k].n_known == sum(counts[w] > 0 for w in words_) + 1 and got[k].train_tokens == n_all
