@@ -11,7 +11,7 @@ from carebasin.streaming import bundles, cleaning
 from checks import expected, standins
 from checks.files import contents, contents_sql
 from checks.registry import NULLABLE, add, check
-from checks.tables import _as_of
+from checks.tables import BUNDLES_PER_FILE, _as_of, compact
 
 RUNS = 3
 
@@ -45,6 +45,7 @@ def clinical_stream(spark, sf_dir):
     job = bundles.BundleStream(landing, f"{base}/clinical", f"{base}/checkpoint", one_per_line=True, as_of=_as_of(), fan_in=2)
     text = standins.bundle_text(standins.bundles(spark, sf_dir))
     for run in range(RUNS):
-        text.where(F.pmod(F.xxhash64("value"), F.lit(RUNS)) == run).write.text(f"{landing}/run={run}")
+        part = text.where(F.pmod(F.xxhash64("value"), F.lit(RUNS)) == run)
+        compact(part.write, BUNDLES_PER_FILE).text(f"{landing}/run={run}")
         bundles.run_bundles(spark, job)
     return contents({name: bundles.read_clinical(spark, job, name) for name in schemas.CLINICAL_LAKE})

@@ -10,7 +10,9 @@ from carebasin.operators import clinical
 from carebasin.operators.quantile import exact_quantile
 from carebasin.plans import clinical as clinical_plan
 from carebasin.session import work_root
-from carebasin.sources.writers import matching_folders, stage, stages_removed
+from carebasin.sources.readers import read_bundles
+from carebasin.sources.writers import matching_folders, stage, stages_removed, well_dealt
+from checks.measure import shuffled
 
 
 @pytest.fixture
@@ -93,3 +95,40 @@ def test_quantiles_reach_both_ends_of_bigint(spark, fraction):
     frame = spark.createDataFrame([(v,) for v in values], "v long")
     place = max(1, math.ceil(fraction * len(values)))
     assert exact_quantile(frame, "v", fraction).first()[0] == values[place - 1]
+
+
+def test_well_dealt_bundles_are_staged_without_a_shuffle(spark, tmp_path):
+    # files of more than a MB each: their tasks write the resources where they are
+    filler = F.sha2(F.col("id").cast("string"), 512)
+    resource = lambda kind: F.concat(F.lit(f'{{"resource":{{"resourceType":"{kind}","id":"'), "id", F.lit('","note":"'), filler, F.lit('"}}'))
+    text = spark.range(0, 32_000, 1, 8).select(F.concat(
+        F.lit('{"resourceType":"Bundle","id":"'), "id", F.lit('","timestamp":"2024-01-01T00:00:00Z","entry":['),
+        resource("Patient"), F.lit(","), resource("Encounter"), F.lit("]}"),
+    ))
+    text.write.text(str(tmp_path / "large"))
+    text.limit(20).repartition(8).write.text(str(tmp_path / "small"))
+    large, small = (read_bundles(spark, str(tmp_path / n), one_per_line=True) for n in ("large", "small"))
+    assert well_dealt(large) and not well_dealt(small) and not well_dealt(large.repartition(1))
+    before = set(shuffled(spark))
+    staged = clinical_plan.stage_resources(large)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    assert sum(n for stage_, n in shuffled(spark).items() if stage_ not in before) == 0
+    assert staged.count() == 64_000
+    assert staged.select("resource").distinct().count() == 64_000
+    assert all(".zstd." in f for f in staged.inputFiles())
+
+
+def test_landed_files_are_compressed_and_bounded(spark, monkeypatch, tmp_path):
+    from checks import standins, tables
+
+    monkeypatch.setattr(tables, "RECORDS_PER_FILE", 40)
+    monkeypatch.setattr(tables, "BUNDLES_PER_FILE", 30)
+    folder = str(tmp_path / "sf")
+    sf = "/root/testdata/sf0.001"
+    for name, n in (("events", 100), ("supplier", 10)):
+        standins.given(spark, sf, name).limit(n).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    bundles = read_bundles(spark, tables.landed_bundles(spark, folder), one_per_line=True)
+    assert len(bundles.inputFiles()) == 4 and all(f.endswith(".gz") for f in bundles.inputFiles())
+    assert bundles.select("id").distinct().count() == 100
+    providers = tables.raw(spark, folder, "providers")
+    assert providers.count() == 12
