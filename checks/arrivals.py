@@ -11,7 +11,7 @@ from carebasin.streaming import bundles, cleaning
 from checks import expected, standins
 from checks.files import contents, contents_sql
 from checks.registry import NULLABLE, add, check
-from checks.tables import BUNDLES_PER_FILE, _as_of, compact
+from checks.tables import BUNDLES_PER_FILE, RECORDS_PER_FILE, _as_of, compact
 
 RUNS = 3
 
@@ -27,7 +27,7 @@ def cleaned(spark, sf_dir, table):
             part = F.pmod(F.xxhash64(*records.columns), F.lit(RUNS))
             for again in {run, max(run - 1, 0)}:
                 place = f"{landing}/year=2024/month=06/day={15 + run}/{entity}_{again:04d}.csv"
-                records.where(part == again).write.option("header", True).csv(place)
+                compact(records.where(part == again).write, RECORDS_PER_FILE).option("header", True).csv(place)
         cleaning.run_cleaning(spark, job)
     return cleaning.read_fact(spark, job)
 

@@ -4,14 +4,16 @@ from decimal import Decimal
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carebasin import schemas
-from carebasin.operators import claims, conform, money, people
+from carebasin.operators import claims, conform, money, packing, people
 from carebasin.operators.dedup import one_per_key
 from carebasin.operators.profile import null_profile, row_counts
 from carebasin.operators.quantile import approximate_quantile, exact_quantile
+from checks.measure import shuffled
 
 
 def raw_rows(spark, layout, *rows):
@@ -184,6 +186,42 @@ def test_hot_key_is_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in before and "WindowGroupLimit" in after
 
 
+ODD = [None, "", "a", "\x00", "\x01", "\x01\x01", "\x01\x02", "\x00a", "a\x00", "aa", "é", "\U0001F600", "\n", " "]
+
+
+def test_packed_texts_come_back_and_keep_their_order(spark):
+    rows = [(k % 40, *(ODD[(k * p + k // 9) % len(ODD)] for p in (1, 3, 5)), k % 3, *(ODD[(k + k // p) % len(ODD)] for p in (2, 7, 11)))
+            for k in range(1500)]
+    frame = spark.createDataFrame(rows, "k int, a string, b string, c string, n int, e string, f string, g string")
+    runs = packing.text_runs(frame, {"k"})
+    assert runs == [["k"], ["a", "b", "c"], ["n"], ["e", "f", "g"]]
+    packed = packing.pack(frame, runs)
+    back = packing.unpack(packed.orderBy(*packed.columns), runs)
+    assert back.columns == frame.columns
+    assert back.collect() == frame.orderBy(*frame.columns).collect()
+    ranking = Window.partitionBy("k").orderBy("a", "b", "c", "n", "e", "f", "g")
+    first = frame.withColumn("r", F.row_number().over(ranking)).where("r = 1").drop("r")
+    assert sorted(map(repr, one_per_key(frame, ["k"]).collect())) == sorted(map(repr, first.collect()))
+
+
+def test_wide_texts_are_shuffled_packed(spark):
+    frame = spark.range(20_000, numPartitions=4).select(
+        F.col("id").cast("string").alias("k"),
+        *[F.when(F.col("id") % 7 > i, F.concat(F.lit("D"), F.col("id") * (i + 3) % 97)).alias(f"c{i}") for i in range(20)],
+    )
+
+    def moved(df):
+        before = set(shuffled(spark))
+        df.write.format("noop").mode("overwrite").save()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        return sum(n for stage, n in shuffled(spark).items() if stage not in before)
+
+    plain = moved(frame.repartition(4, "k"))
+    plan = one_per_key(frame, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "_run_1" in plan.split("Exchange hashpartitioning")[1] and "c0" not in plan.split("WindowGroupLimit")[1]
+    assert 0 < moved(one_per_key(frame, ["k"])) < 0.9 * plain
+
+
 # -- quantiles and amounts ----------------------------------------------------------------
 
 

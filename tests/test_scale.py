@@ -131,4 +131,4 @@ def test_landed_files_are_compressed_and_bounded(spark, monkeypatch, tmp_path):
     assert len(bundles.inputFiles()) == 4 and all(f.endswith(".gz") for f in bundles.inputFiles())
     assert bundles.select("id").distinct().count() == 100
     providers = tables.raw(spark, folder, "providers")
-    assert providers.count() == 12
+    assert all(f.endswith(".gz") for f in providers.inputFiles()) and providers.count() == 12
