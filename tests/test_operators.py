@@ -189,7 +189,8 @@ def test_hot_key_is_cut_before_the_shuffle(spark):
 ODD = [None, "", "a", "\x00", "\x01", "\x01\x01", "\x01\x02", "\x00a", "a\x00", "aa", "é", "\U0001F600", "\n", " "]
 
 
-def test_packed_texts_come_back_and_keep_their_order(spark):
+def test_packed_texts_come_back_and_keep_their_order(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHORTEST", 3)
     rows = [(k % 40, *(ODD[(k * p + k // 9) % len(ODD)] for p in (1, 3, 5)), k % 3, *(ODD[(k + k // p) % len(ODD)] for p in (2, 7, 11)))
             for k in range(1500)]
     frame = spark.createDataFrame(rows, "k int, a string, b string, c string, n int, e string, f string, g string")
