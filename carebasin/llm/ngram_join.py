@@ -24,7 +24,10 @@ Set relations skip work:
 
 Cells give link counts and one spanning edge per set, never pairs, and large
 cells are cut into blocks of ``BLOCK`` grams. Components come from the edges by
-star contraction. Nothing but the bounded summary, and a bit map of 2 MB that
+star contraction. The index names a list by 48 bits of its gram's key, and places
+end at 2**16 - 1: lists that share a name and places that are too small only add pairs, all of
+which are compared on whole sets. Those are shuffled as steps between their sorted
+grams, byte by byte. Nothing but the bounded summary, and a bit map of 2 MB that
 tells which sets are of interest, goes through the driver.
 
 Defined cases: documents without words have no set, link with nothing and are
@@ -65,6 +68,8 @@ GIVEN = 100_000
 BLOCK = 1 << 20
 #: Bits of the map of interesting sets.
 MAP_BITS = 24
+#: Bits of a gram's place in a set that the index holds; later places count as the last one.
+AT_BITS = 16
 
 _ODD = np.random.default_rng(7).integers(0, 1 << 63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 _TOP = np.uint64(1 << 63)
@@ -145,6 +150,23 @@ def heavy_grams(docs: DataFrame, k: int) -> np.ndarray:
     return np.asarray(rows.column("gram").combine_chunks(), np.int64)[::-1].copy().view(np.uint64)
 
 
+def names(keys: np.ndarray) -> np.ndarray:
+    """A name of 48 bits for the list of each key; the frequent grams' names are their own."""
+    return np.where(keys >= _TOP, (_TOP >> np.uint64(AT_BITS)) + (keys - _TOP), keys >> np.uint64(AT_BITS))
+
+
+def coded(keys: np.ndarray) -> bytes:
+    """A sorted set as the steps between its keys, their first bytes first: most steps
+    have leading zeros, which lie together and take next to nothing when compressed."""
+    return np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def decoded(blob: bytes) -> np.ndarray:
+    """The sorted set that ``coded`` was given."""
+    steps = np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+    return np.cumsum(steps, dtype=np.uint64)
+
+
 def need(a, b):
     """Least overlap of linked sets of sizes a and b."""
     return -(-SHARE * (a + b) // (SHARE + WHOLE))
@@ -166,7 +188,7 @@ def postings(docs: DataFrame, order: Order, k: int) -> DataFrame:
             heads = sizes - -(-SHARE * sizes // WHOLE) + 1
             ids = np.array([x[1] for x in fresh], np.int64)
             at = np.arange(heads.sum()) - np.repeat(np.cumsum(heads) - heads, heads)
-            keys = np.concatenate([x[2][:h] for x, h in zip(fresh, heads)])
+            keys = names(np.concatenate([x[2][:h] for x, h in zip(fresh, heads)]))
             yield pa.record_batch([
                 pa.array(keys.view(np.int64)), pa.array(np.repeat(ids, heads)),
                 pa.array(np.repeat(sizes, heads).astype(np.int32)), pa.array(at.astype(np.int32)),
@@ -245,7 +267,14 @@ def list_rows(index: DataFrame, short: int) -> DataFrame:
     """Walk the lists: pairs of short lists that positions and sizes allow, and
     the rows of long ones. A list is streamed; only its head of ``short`` rows is
     held."""
-    ordered = index.repartition("key").sortWithinPartitions("key", "n", "id")
+    last = (1 << AT_BITS) - 1
+    word = F.shiftleft("key", AT_BITS).bitwiseOR(F.least("at", F.lit(last)).cast("long"))
+    key = F.shiftrightunsigned("word", AT_BITS)
+    # name and place travel as one number: rows of a set then differ in it alone
+    dealt = index.select(word.alias("word"), "id", "n").repartition(key).select(
+        key.alias("key"), "id", "n", F.col("word").bitwiseAND(F.lit(last)).cast("int").alias("at")
+    )
+    ordered = dealt.sortWithinPartitions("key", "n", "id")
     return ordered.mapInArrow(lambda batches: walked(batches, short), ROW)
 
 
@@ -260,8 +289,8 @@ def interesting(ids: DataFrame) -> np.ndarray:
     return bits
 
 
-def whole_sets(docs: DataFrame, order: Order, k: int, bits: np.ndarray) -> DataFrame:
-    """``id, n, grams`` (bytes) of the sets that the bit map names, once each."""
+def whole_sets(docs: DataFrame, order: Order, k: int, bits: np.ndarray, form=np.ndarray.tobytes) -> DataFrame:
+    """``id, n, grams`` (bytes, as ``form`` gives them) of the sets that the bit map names, once each."""
 
     def emit(batches):
         seen = set()
@@ -271,7 +300,7 @@ def whole_sets(docs: DataFrame, order: Order, k: int, bits: np.ndarray) -> DataF
                 place = id_ % (1 << MAP_BITS)
                 if id_ not in seen and int(bits[place >> 6]) >> (place & 63) & 1:
                     seen.add(id_)
-                    keep.append((id_, len(keys), keys.tobytes()))
+                    keep.append((id_, len(keys), form(keys)))
             if len(seen) > 1_000_000:
                 seen.clear()
             if keep:
@@ -292,7 +321,7 @@ def overlaps(pairs: DataFrame, every: DataFrame) -> DataFrame:
     def count(batches):
         for batch in batches:
             both = [
-                len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), True))
+                len(np.intersect1d(decoded(x), decoded(y), True))
                 for x, y in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist())
             ]
             yield pa.record_batch([batch.column(c) for c in ("a", "b", "n", "m")] + [pa.array(both, pa.int32())], ["a", "b", "n", "m", "both"])
@@ -343,7 +372,7 @@ def answer(cell: int, table: pa.Table, square: bool):
     ids, n, weight = (np.asarray(table.column(c).combine_chunks()) for c in ("id", "n", "weight"))
     side = np.asarray(table.column("side").combine_chunks())
     blobs, own = table.column("grams").to_pylist(), table.column("cells").to_pylist()
-    tokens = [np.frombuffer(x, np.uint64) for x in blobs]
+    tokens = [decoded(x) for x in blobs]
     _, local = np.unique(np.concatenate(tokens), return_inverse=True)
     local = np.split(local.ravel(), np.cumsum(n)[:-1])
     left = np.arange(len(ids)) if square else np.flatnonzero(side == 0)
@@ -442,7 +471,7 @@ def labelled(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame]:
     lists = rows.where("long_list").select("key", F.col("a").alias("id"), "n", "at")
     # the sets of long lists are few and used often, those of pairs many and used
     # once: the former are written, the latter read again and shuffled by id once
-    listed = stage(whole_sets(docs, order, k, interesting(lists.select("id"))), "join-listed")
+    listed = stage(whole_sets(docs, order, k, interesting(lists.select("id")), coded), "join-listed")
     copies = stage(
         slim.where("id IS NOT NULL").groupBy("id").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("weight")),
         "join-copies",
@@ -460,7 +489,7 @@ def labelled(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame]:
         pairs = pairs.where(F.coalesce(~F.arrays_overlap("ca", "cb"), F.lit(True)))
     pairs = stage(pairs.select("a", "b"), "join-pairs")
     named = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-    every = whole_sets(docs, order, k, interesting(named))
+    every = whole_sets(docs, order, k, interesting(named), coded)
     linked = stage(overlaps(pairs, every).where(LINKED).select("a", "b"), "join-linked")
     weights = copies.select("id", "weight")
     half = linked.select(F.col("a").alias("id"), F.col("b").alias("other"))

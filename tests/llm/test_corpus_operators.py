@@ -88,6 +88,25 @@ def test_pairs_of_a_list_are_given_in_pieces(monkeypatch):
     assert {(a, b) for x in found for a, b in zip(x.column("a").to_pylist(), x.column("b").to_pylist())} == set(itertools.combinations(range(n), 2))
 
 
+def test_sets_and_lists_are_shuffled_in_short_forms(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    plain = np.unique(rng.integers(0, 1 << 63, 900, np.uint64))
+    heavy = np.unique(rng.integers(0, 1 << 20, 900).astype(np.uint64)) + np.uint64(1 << 63)
+    for keys in (plain, heavy, np.concatenate([plain, heavy]), plain[:1], plain[:0]):
+        assert (ngram_join.decoded(ngram_join.coded(keys)) == keys).all()
+    size = lambda blob: len(pa.compress(blob, codec="lz4_raw", asbytes=True))  # the codec of shuffles
+    assert size(ngram_join.coded(heavy)) < size(heavy.tobytes()) / 2 and size(ngram_join.coded(plain)) < 0.9 * size(plain.tobytes())
+    # a frequent gram has a list of its own, and no name is longer than 48 bits
+    assert len(np.unique(ngram_join.names(heavy))) == len(heavy)
+    assert int(ngram_join.names(np.concatenate([plain, heavy])).max()) < 1 << 48
+    # lists of one name are one list, and places end: links stay the same
+    monkeypatch.setattr(ngram_join, "names", lambda keys: np.where(keys >= ngram_join._TOP, np.uint64(1 << 47), keys % np.uint64(50)))
+    monkeypatch.setattr(ngram_join, "AT_BITS", 2)
+    rows = [r for r in brute.odd_documents(9) if r[0] is None or r[0] < 90]
+    got = [tuple(r) for r in ngram_join.join_documents(frame(spark, rows)).collect()]
+    assert brute.in_order(got) == brute.in_order(brute.join(rows))
+
+
 def test_one_of_each_group_stays(spark):
     rows = brute.odd_documents()
     kept = [tuple(r) for r in ngram_join.one_per_group(frame(spark, rows)).collect()]
