@@ -74,7 +74,7 @@ def read_version(
 def write_partitions(df: DataFrame, root: str, table: str, number: int, partition_by: Sequence[str]) -> list[str]:
     """Write whole partitions of a version; the folders that have rows."""
     path = f"{root}/{table}/v={number}"
-    write_table(df, path, partition_by)
+    write_table(df, path, partition_by, compression="zstd")
     written = df.sparkSession.read.schema(df.schema).parquet(path).select(*partition_by).distinct()
     return [folder_of(row, partition_by) for row in written.collect()]
 

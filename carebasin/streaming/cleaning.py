@@ -107,7 +107,8 @@ def merge_batch(job: Cleaning, batch: DataFrame, number: int) -> None:
     """Merge typed rows into the version before ``number`` and publish the next one."""
     spark, key, parts = batch.sparkSession, job.fact.key, job.partition_by
     with stages_removed(spark):
-        incoming = stage(one_per_key(with_partitions(job, batch), [key]), "cleaning-batch")
+        # versions inside the batch meet in the merge, so that they are shuffled by key once
+        incoming = stage(with_partitions(job, batch), "cleaning-batch", compression="zstd")
         touched = {versions.folder_of(r, parts) for r in incoming.select(*parts).distinct().collect()}
         if not touched:
             return
@@ -119,7 +120,9 @@ def merge_batch(job: Cleaning, batch: DataFrame, number: int) -> None:
         touched |= {versions.folder_of(r, parts) for r in again.select(*parts).distinct().collect()}
 
         old = versions.read_version(spark, job.root, "rows", base, incoming.schema, touched)
-        written = versions.write_partitions(one_per_key(old.unionByName(incoming), [key]), job.root, "rows", number, parts)
+        # partitions of dates follow from the record again: they are not shuffled
+        merged = with_partitions(job, one_per_key(old.unionByName(incoming).select(batch.columns), [key]))
+        written = versions.write_partitions(merged, job.root, "rows", number, parts)
         new = versions.read_version(
             spark, job.root, "rows", versions.Version(number, {"rows": dict.fromkeys(written, number)}), incoming.schema
         )

@@ -68,6 +68,17 @@ def test_late_repeated_and_changed_records_equal_one_build(spark, job):
     assert rows.where("is_high_cost").count() == 1 and rows.where("prescription_id = 'p3'").first().year == 2022
 
 
+def test_versions_of_a_batch_and_of_the_table_meet_in_one_step(spark, job, monkeypatch):
+    steps, inner = [], cleaning.one_per_key
+    monkeypatch.setattr(cleaning, "one_per_key", lambda df, keys: (steps.append(df.columns), inner(df, keys))[1])
+    land(spark, job.landing, 1, 1, [("a", "20230101", "1"), ("a", "20230201", "0"), ("b", "20230301", "2")])
+    cleaning.run_cleaning(spark, job)
+    land(spark, job.landing, 2, 1, [("b", "20230401", "0"), ("b", "20230201", "5"), ("a", "20221201", "3"), ("a", "20230601", "3")])
+    cleaning.run_cleaning(spark, job)
+    assert in_order(cleaning.read_fact(spark, job)) == full(spark, job)
+    assert len(steps) == 2 and not any({"year", "month"} & set(columns) for columns in steps)
+
+
 def test_repeated_files_are_dropped_by_state(spark, job, monkeypatch):
     sizes, merge = [], cleaning.merge_batch
     monkeypatch.setattr(cleaning, "merge_batch", lambda job, batch, n: (sizes.append(batch.count()), merge(job, batch, n)))
