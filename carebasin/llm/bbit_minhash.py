@@ -25,7 +25,7 @@ Sets with equal bands are candidates. They are never paired with each other:
 
 A link at the limit (similarity 0.8) shares no band with a probability of 3 in a
 million, and less above it. Groups come from spanning links by star contraction.
-Nothing but a bit map of 2 MB goes through the driver.
+Nothing but two bit maps of 2 MB go through the driver.
 
 Defined cases: a document without words has no set, links with nothing and is kept;
 fewer words than a shingle are one shingle; repeated rows are copies of each other; a
@@ -43,9 +43,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carebasin.llm.common import mix
+from carebasin.llm.common import mix, row_key
 from carebasin.llm.components import connected
-from carebasin.llm.ngram_join import Order, interesting, sets, whole_sets
+from carebasin.llm.ngram_join import Order, sets, whole_sets
 from carebasin.sources.writers import stage
 
 WORDS = 4
@@ -112,7 +112,7 @@ def bands(least: np.ndarray) -> np.ndarray:
 
 
 def signed(docs: DataFrame, k: int = WORDS) -> DataFrame:
-    """``doc_id, n_shingles, id, signature, bands``. In a task, only the first of
+    """``doc_id, key, n_shingles, id, signature, bands``. In a task, only the first of
     equal sets has a signature."""
 
     def work(batches):
@@ -134,14 +134,14 @@ def signed(docs: DataFrame, k: int = WORDS) -> DataFrame:
                 for (row, _), s, b in zip(fresh, packed(least).view(np.int64).tolist(), bands(least).view(np.int64).tolist()):
                     signatures[row], buckets[row] = s, b
             yield pa.record_batch(
-                [batch.column("doc_id"), pa.array(n), pa.array(ids, pa.int64()),
+                [batch.column("doc_id"), batch.column("key"), pa.array(n), pa.array(ids, pa.int64()),
                  pa.array(signatures, pa.list_(pa.int64())), pa.array(buckets, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "id", "signature", "bands"],
+                ["doc_id", "key", "n_shingles", "id", "signature", "bands"],
             )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(
-        work, f"doc_id {kind}, n_shingles long, id long, signature array<long>, bands array<long>"
+    return docs.select("doc_id", row_key().alias("key"), "text").mapInArrow(
+        work, f"doc_id {kind}, key long, n_shingles long, id long, signature array<long>, bands array<long>"
     )
 
 
@@ -289,11 +289,11 @@ def grouped(docs: DataFrame, k: int = WORDS) -> DataFrame:
     """``doc_id, n_shingles, component_id``, one row a document."""
     rows = stage(signed(docs, k), "near-signed")
     signatures = stage(
-        rows.where("signature IS NOT NULL").groupBy("id").agg(F.first("signature").alias("signature"), F.first("bands").alias("bands")),
+        rows.where("signature IS NOT NULL").groupBy("id").agg(F.first("signature").alias("signature"), F.first("bands").alias("bands"), F.min("key").alias("key")),
         "near-signatures",
     )
     members = families(signatures)
-    every = whole_sets(docs, _NO_ORDER, k, interesting(members.select("id")))
+    every = whole_sets(docs, _NO_ORDER, k, members.select("id"), signatures)
     labels = connected(family_links(members, signatures, every))
     least = rows.where("id IS NOT NULL").groupBy("id").agg(F.min("doc_id").alias("least"))
     least = stage(least.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id")), "near-least")

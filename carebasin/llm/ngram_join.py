@@ -27,8 +27,8 @@ cells are cut into blocks of ``BLOCK`` grams. Components come from the edges by
 star contraction. The index names a list by 48 bits of its gram's key, and places
 end at 2**16 - 1: lists that share a name and places that are too small only add pairs, all of
 which are compared on whole sets. Those are shuffled as steps between their sorted
-grams, byte by byte. Nothing but the bounded summary, and a bit map of 2 MB that
-tells which sets are of interest, goes through the driver.
+grams, byte by byte. Nothing but the bounded summary, and two bit maps of 2 MB
+that tell which sets and rows are of interest, goes through the driver.
 
 Defined cases: documents without words have no set, link with nothing and are
 their own component; fewer words than n are one gram; repeated rows are copies;
@@ -289,16 +289,31 @@ def interesting(ids: DataFrame) -> np.ndarray:
     return bits
 
 
-def whole_sets(docs: DataFrame, order: Order, k: int, bits: np.ndarray, form=np.ndarray.tobytes) -> DataFrame:
-    """``id, n, grams`` (bytes, as ``form`` gives them) of the sets that the bit map names, once each."""
+def named(bits: np.ndarray, values) -> np.ndarray:
+    """Which of some 64-bit values the bit map names; it may name a few more than it was made of."""
+    place = np.asarray(values, np.int64) % (1 << MAP_BITS)
+    return (bits[place >> 6] >> (place & 63) & 1).astype(bool)
+
+
+def whole_sets(docs: DataFrame, order: Order, k: int, ids: DataFrame, sources: DataFrame, form=np.ndarray.tobytes) -> DataFrame:
+    """``id, n, grams`` (bytes, as ``form`` gives them) of the sets ``id``, and of a few more
+    that share their bits, once each. ``sources`` has for every set its ``id`` and the
+    ``key`` of one row that holds it: other texts are passed over before a word is cut."""
+    bits = interesting(ids)
+
+    def of_sets(batches):
+        for batch in batches:
+            yield pa.record_batch([batch.column("key").filter(pa.array(named(bits, batch.column("id"))))], ["id"])
+
+    rows = interesting(sources.select("id", "key").mapInArrow(of_sets, "id long"))
 
     def emit(batches):
         seen = set()
-        for _, found in sets(batches, order, k):
+        picked = (batch.filter(pa.array(named(rows, batch.column("key")))) for batch in batches)
+        for _, found in sets(picked, order, k):
             keep = []
-            for row, id_, keys in found:
-                place = id_ % (1 << MAP_BITS)
-                if id_ not in seen and int(bits[place >> 6]) >> (place & 63) & 1:
+            for (row, id_, keys), wanted in zip(found, named(bits, [x[1] for x in found])):
+                if wanted and id_ not in seen:
                     seen.add(id_)
                     keep.append((id_, len(keys), form(keys)))
             if len(seen) > 1_000_000:
@@ -307,7 +322,7 @@ def whole_sets(docs: DataFrame, order: Order, k: int, bits: np.ndarray, form=np.
                 ids, n, blobs = zip(*keep)
                 yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(n, pa.int32()), pa.array(blobs, pa.binary())], ["id", "n", "grams"])
 
-    found = docs.select("text").mapInArrow(emit, "id long, n int, grams binary")
+    found = docs.select("text", row_key().alias("key")).mapInArrow(emit, "id long, n int, grams binary")
     return found.groupBy("id").agg(F.first("n").alias("n"), F.first("grams").alias("grams"))
 
 
@@ -469,13 +484,15 @@ def labelled(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame]:
     rows = stage(list_rows(postings(docs, order, k), SHORT), "join-rows")
     pairs = rows.where("NOT long_list").select("a", "b").distinct()
     lists = rows.where("long_list").select("key", F.col("a").alias("id"), "n", "at")
-    # the sets of long lists are few and used often, those of pairs many and used
-    # once: the former are written, the latter read again and shuffled by id once
-    listed = stage(whole_sets(docs, order, k, interesting(lists.select("id")), coded), "join-listed")
     copies = stage(
-        slim.where("id IS NOT NULL").groupBy("id").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("weight")),
+        slim.where("id IS NOT NULL").groupBy("id").agg(
+            F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("weight"), F.min("key").alias("key")
+        ),
         "join-copies",
     )
+    # the sets of long lists are few and used often, those of pairs many and used
+    # once: the former are written, the latter read again and shuffled by id once
+    listed = stage(whole_sets(docs, order, k, lists.select("id"), copies, coded), "join-listed")
 
     cells, more = pivot_rounds(lists, listed)
     for extra in more:
@@ -488,8 +505,8 @@ def labelled(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame]:
         pairs = pairs.join(left, "a", "left").join(right, "b", "left")
         pairs = pairs.where(F.coalesce(~F.arrays_overlap("ca", "cb"), F.lit(True)))
     pairs = stage(pairs.select("a", "b"), "join-pairs")
-    named = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-    every = whole_sets(docs, order, k, interesting(named), coded)
+    paired = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    every = whole_sets(docs, order, k, paired, copies, coded)
     linked = stage(overlaps(pairs, every).where(LINKED).select("a", "b"), "join-linked")
     weights = copies.select("id", "weight")
     half = linked.select(F.col("a").alias("id"), F.col("b").alias("other"))
@@ -501,7 +518,7 @@ def labelled(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame]:
         edges = edges.unionByName(answers.where("b IS NOT NULL").select("a", "b"))
         counts = counts.unionByName(answers.where("b IS NULL").select(F.col("a").alias("id"), "links"))
     labels = connected(edges)
-    least = copies.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    least = copies.drop("key").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
     component = stage(least.groupBy("label").agg(F.min("least").alias("component_id")), "join-components")
     total = counts.groupBy("id").agg(F.sum("links").alias("links"))
     by_set = stage(

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from carebasin.llm import decontaminate, language, lattice_lm, line_dedup, mixing, ngram_join, quality_crf, quality_rules, suffix_dedup, warc
+from carebasin.llm import components, decontaminate, language, lattice_lm, line_dedup, mixing, ngram_join, quality_crf, quality_rules, suffix_dedup, warc
 from carebasin.llm.common import Texts, chunks, words
 from carebasin.llm.components import connected
 
@@ -119,6 +119,42 @@ def test_components_of_paths_and_stars(spark):
     assert got == {**{k: 0 for k in range(41)}, **{k: 100 for k in range(100, 160)}}
 
 
+@pytest.mark.parametrize("held, most", [(1 << 18, 2), (0, 100)])
+def test_few_edges_end_without_rounds(spark, monkeypatch, held, most):
+    rng, staged, inner = random.Random(6), [], components.stage
+    edges = [(rng.randrange(-400, 400), rng.randrange(-400, 400)) for _ in range(300)] + [(k + 1, k) for k in range(900, 980)]
+    label = {node: node for edge in edges for node in edge if edge[0] != edge[1]}
+    for _ in range(100):
+        for a, b in edges:
+            if a != b:
+                label[a] = label[b] = min(label[a], label[b])
+    monkeypatch.setattr(components, "HELD", held)
+    monkeypatch.setattr(components, "stage", lambda *a: staged.append(a[1]) or inner(*a))
+    frame_ = spark.createDataFrame(edges, "a long, b long").repartition(5)
+    assert sorted((r.node, r.label) for r in connected(frame_).collect()) == sorted(label.items())
+    assert (len(staged) <= most) and (held or len(staged) > 3)
+
+
+def test_tasks_give_stars_of_bounded_graphs(monkeypatch):
+    monkeypatch.setattr(components, "HELD", 10)
+    edges = pa.record_batch([pa.array(range(1, 101), pa.int64()), pa.array(range(100), pa.int64())], ["a", "b"])
+    found = list(components.spanned([edges]))
+    assert len(found) > 1 and max(b.num_rows for b in found) <= 15
+    a, b = (np.concatenate([np.asarray(x.column(c)) for x in found]) for c in ("a", "b"))
+    assert (a > b).all() and set(components.rooted(a, b)[1]) == {0}
+
+
+def test_only_texts_of_wanted_sets_are_cut_into_words(spark):
+    docs = frame(spark, [(k, f"one two three four five {k}", "en", "s", 0) for k in range(40)])
+    rows = {r.doc_id: r for r in ngram_join.labelled(docs)[0].collect()}
+    sources = spark.createDataFrame([(rows[k].id, rows[k].key) for k in range(0, 40, 2)], "id long, key long")
+    ids = spark.createDataFrame([(rows[k].id,) for k in range(0, 20)], "id long")
+    order = ngram_join.Order(ngram_join.heavy_grams(docs, ngram_join.WORDS))
+    # a wanted set that no source names is not looked for in the texts
+    got = ngram_join.whole_sets(docs, order, ngram_join.WORDS, ids, sources).collect()
+    assert {r.id for r in got} == {rows[k].id for k in range(0, 20, 2)} and all(r.n == 2 and len(r.grams) == 16 for r in got)
+
+
 def test_suffix_dedup_in_small_pieces(spark, monkeypatch):
     for name, value in (("SORTED", 40), ("BUCKET", 50), ("COMBINED", 25), ("PIECE", 900)):
         monkeypatch.setattr(suffix_dedup, name, value)
