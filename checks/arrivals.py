@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from carebasin import schemas
 from carebasin.plans.claims import FACTS
 from carebasin.session import fresh_folder
+from carebasin.sources.writers import stage, stages_removed
 from carebasin.streaming import bundles, cleaning
 from checks import expected, standins
 from checks.files import contents, contents_sql
@@ -16,19 +17,27 @@ from checks.tables import BUNDLES_PER_FILE, RECORDS_PER_FILE, _as_of, compact
 RUNS = 3
 
 
+def dealt(spark, sf_dir, entity):
+    """An entity's raw records with the number of their ``part``, made once for all deliveries."""
+    records = standins.raw(spark, sf_dir, entity).select([c.raw for c in schemas.RAW_ENTITIES[entity]])
+    part = F.pmod(F.xxhash64(*records.columns), F.lit(RUNS))
+    return stage(records.withColumn("part", part), "records", compression="zstd")
+
+
 def cleaned(spark, sf_dir, table):
     """All raw records of a fact's entities, in three deliveries. Versions of one
     claim are spread over them, days late, and each delivery repeats the last one."""
     landing, base = fresh_folder(spark, "arriving"), fresh_folder(spark, "cleaning")
     job = cleaning.Cleaning(table, landing, f"{base}/{table}", f"{base}/checkpoint")
-    for run in range(RUNS):
-        for entity in FACTS[table].entities:
-            records = standins.raw(spark, sf_dir, entity).select([c.raw for c in schemas.RAW_ENTITIES[entity]])
-            part = F.pmod(F.xxhash64(*records.columns), F.lit(RUNS))
-            for again in {run, max(run - 1, 0)}:
-                place = f"{landing}/year=2024/month=06/day={15 + run}/{entity}_{again:04d}.csv"
-                compact(records.where(part == again).write, RECORDS_PER_FILE).option("header", True).csv(place)
-        cleaning.run_cleaning(spark, job)
+    with stages_removed(spark):
+        records = {entity: dealt(spark, sf_dir, entity) for entity in FACTS[table].entities}
+        for run in range(RUNS):
+            for entity, rows in records.items():
+                for again in {run, max(run - 1, 0)}:
+                    place = f"{landing}/year=2024/month=06/day={15 + run}/{entity}_{again:04d}.csv"
+                    part = rows.where(F.col("part") == again).drop("part")
+                    compact(part.write, RECORDS_PER_FILE).option("header", True).csv(place)
+            cleaning.run_cleaning(spark, job)
     return cleaning.read_fact(spark, job)
 
 
