@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from carebasin import schemas
 from carebasin.plans.claims import FACTS
 from carebasin.session import fresh_folder
-from carebasin.sources.writers import stage, stages_removed
+from carebasin.sources.writers import matching_folders, rename_folder, stage, stages_removed
 from carebasin.streaming import bundles, cleaning
 from checks import expected, standins
 from checks.files import contents, contents_sql
@@ -17,6 +19,17 @@ from checks.tables import BUNDLES_PER_FILE, RECORDS_PER_FILE, _as_of, compact
 RUNS = 3
 
 
+@contextmanager
+def setting(spark, key, value):
+    """An option of the session for the time of the block."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def dealt(spark, sf_dir, entity):
     """An entity's raw records with the number of their ``part``, made once for all deliveries."""
     records = standins.raw(spark, sf_dir, entity).select([c.raw for c in schemas.RAW_ENTITIES[entity]])
@@ -52,9 +65,13 @@ def clinical_stream(spark, sf_dir):
     """All bundles in three deliveries; each batch changes the nine tables together."""
     landing, base = fresh_folder(spark, "bundles"), fresh_folder(spark, "bundle-stream")
     job = bundles.BundleStream(landing, f"{base}/clinical", f"{base}/checkpoint", one_per_line=True, as_of=_as_of(), fan_in=2)
+    waiting = f"{landing}/_waiting"  # a name that scans pass over
     text = standins.bundle_text(standins.bundles(spark, sf_dir))
+    text = text.withColumn("run", F.pmod(F.xxhash64("value"), F.lit(RUNS)))
+    with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", RUNS):  # else each task sorts its bundles by run
+        compact(text.write.partitionBy("run"), BUNDLES_PER_FILE).text(waiting)
     for run in range(RUNS):
-        part = text.where(F.pmod(F.xxhash64("value"), F.lit(RUNS)) == run)
-        compact(part.write, BUNDLES_PER_FILE).text(f"{landing}/run={run}")
+        for arrived in matching_folders(spark, f"{waiting}/run={run}"):
+            rename_folder(spark, arrived, f"{landing}/run={run}")
         bundles.run_bundles(spark, job)
     return contents({name: bundles.read_clinical(spark, job, name) for name in schemas.CLINICAL_LAKE})

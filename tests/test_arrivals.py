@@ -31,3 +31,21 @@ def test_claims_that_arrive_in_three_runs_are_derived_once(spark, monkeypatch):
     monkeypatch.setattr(arrivals.standins, "raw", lambda spark, sf_dir, entity: (made.append(entity), raw(spark, sf_dir, entity))[1])
     assert difference(spark, engine(SF_DIR), SF_DIR, "carrier_claims_stream") is None
     assert made == ["carrier_claims"]
+
+
+def test_bundles_arrive_in_three_runs_of_one_derivation(spark, monkeypatch):
+    landed, run = [], arrivals.bundles.run_bundles
+
+    def run_bundles(spark, job):
+        landed.append(spark.read.option("recursiveFileLookup", True).text(job.landing))
+        assert landed[-1].count() > (landed[-2].count() if len(landed) > 1 else 0)
+        run(spark, job)
+
+    monkeypatch.setattr(arrivals.bundles, "run_bundles", run_bundles)
+    frames = []
+    monkeypatch.setattr(arrivals.standins, "bundle_text", lambda df, inner=standins.bundle_text: (frames.append(df), inner(df))[1])
+    writes, compact = [], arrivals.compact
+    monkeypatch.setattr(arrivals, "compact", lambda writer, records: (writes.append(writer), compact(writer, records))[1])
+    assert difference(spark, engine(SF_DIR), SF_DIR, "clinical_stream") is None
+    assert len(landed) == arrivals.RUNS and len(frames) == len(writes) == 1
+    assert landed[-1].distinct().count() == standins.given(spark, SF_DIR, "events").count()
