@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import functions as F
 
 from carebasin import schemas
 from carebasin.plans.claims import FACTS
-from carebasin.session import fresh_folder
+from carebasin.session import fresh_folder, setting
 from carebasin.sources.writers import matching_folders, rename_folder, stage, stages_removed
 from carebasin.streaming import bundles, cleaning
 from checks import expected, standins
@@ -19,17 +17,6 @@ from checks.tables import BUNDLES_PER_FILE, RECORDS_PER_FILE, _as_of, compact
 RUNS = 3
 
 
-@contextmanager
-def setting(spark, key, value):
-    """An option of the session for the time of the block."""
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-
-
 def dealt(spark, sf_dir, entity):
     """An entity's raw records with the number of their ``part``, made once for all deliveries."""
     records = standins.raw(spark, sf_dir, entity).select([c.raw for c in schemas.RAW_ENTITIES[entity]])

@@ -21,7 +21,7 @@ from carebasin.streaming import feeds, reloads, status
 from checks import expected, standins
 from checks.registry import check
 from checks.standins import given
-from checks.tables import Lake, _as_of, build, landed, landed_bundles, raw, resources
+from checks.tables import Lake, _as_of, build, compact, landed, landed_bundles, raw, resources
 
 @check(standins.raw_sql("inpatient_claims"))
 def landed_csv_scan(spark, sf_dir):
@@ -150,10 +150,10 @@ BUNDLES = 1000
 def multi_line_bundles(spark, sf_dir):
     """Bundles in files of several lines each, read in the default form."""
     landing = fresh_folder(spark, "bundles")
-    text = standins.bundle_text(standins.bundles(spark, sf_dir))
-    spread = text.select(F.regexp_replace("value", ",\"type\"", ",\n  \"type\"").alias("value"), F.floor(F.monotonically_increasing_id() / F.lit(BUNDLES)).alias("file"))
-    files = spread.groupBy("file").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("value"), ",\n"), F.lit("\n]")).alias("value"))
-    files.write.partitionBy("file").text(f"{landing}/fhir")
+    text = standins.bundle_text(standins.bundles(spark, sf_dir, per_file=BUNDLES))
+    lines = text.select(F.regexp_replace("value", ",\"type\"", ",\n  \"type\"").alias("value"), "file")
+    files = lines.groupBy("file").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("value"), ",\n"), F.lit("\n]")).alias("value"))
+    compact(files.select("value").write, 1).text(f"{landing}/fhir")
     return clinical.flatten_encounters(clinical.stage_resources(readers.read_bundles(spark, landing)))
 
 

@@ -412,13 +412,28 @@ RESOURCES = [
 ]
 
 
-def bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One bundle per event, in the shape that the bundle scan gives."""
+#: Files that a task puts together: it holds their whole text.
+FILES_PER_TASK = 16
+
+
+def bundles(spark: SparkSession, sf_dir: str, per_file: int | None = None) -> DataFrame:
+    """One bundle per event, in the shape that the bundle scan gives.
+
+    With ``per_file`` a column ``file`` numbers files of so many bundles at most, and the rows of a
+    file are in one task: events are dealt by it, as their bundles are hundreds of times their size.
+    """
+    events = given(spark, sf_dir, "events")
+    if per_file is None:
+        events = spread(events)
+    else:
+        file = F.floor(F.monotonically_increasing_id() / F.lit(per_file))
+        tasks = max(-(-events.count() // (per_file * FILES_PER_TASK)), spark.sparkContext.defaultParallelism)
+        events = events.withColumn("file", file).repartition(tasks, "file")
     entries = ", ".join(f"named_struct('resource', {r})" for r in RESOURCES)
     return spark.sql(
         f"""SELECT 'b' || cast(event_id AS string) AS id, {_moment('ts')} AS timestamp,
-            array({entries}) AS entry FROM {{events}}""",
-        events=spread(given(spark, sf_dir, "events")),
+            array({entries}) AS entry{", file" if per_file else ""} FROM {{events}}""",
+        events=events,
     )
 
 
@@ -430,5 +445,6 @@ def bundle_text(frame: DataFrame) -> DataFrame:
             F.lit('{"resourceType":"Bundle","id":"'), "id",
             F.lit('","type":"collection","timestamp":"'), "timestamp",
             F.lit('","entry":['), F.array_join(wrapped, ","), F.lit("]}"),
-        ).alias("value")
+        ).alias("value"),
+        *[c for c in frame.columns if c not in ("id", "timestamp", "entry")],
     )

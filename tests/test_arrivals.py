@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import arrivals, standins
 from checks.compare import difference, engine
+from checks.measure import shuffled
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="the given tables are absent")
@@ -49,3 +50,26 @@ def test_bundles_arrive_in_three_runs_of_one_derivation(spark, monkeypatch):
     assert difference(spark, engine(SF_DIR), SF_DIR, "clinical_stream") is None
     assert len(landed) == arrivals.RUNS and len(frames) == len(writes) == 1
     assert landed[-1].distinct().count() == standins.given(spark, SF_DIR, "events").count()
+
+
+def test_multi_line_files_are_put_together_without_a_shuffle_of_their_text(spark, monkeypatch):
+    from checks import files
+
+    monkeypatch.setattr(files, "BUNDLES", 100)
+    moved, paths, inner = [], [], files.readers.read_bundles
+
+    def written():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        return sum(shuffled(spark).values())
+
+    def read_bundles(spark, path, **options):
+        moved.append(written())
+        paths.extend(r.path for r in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").collect())
+        return inner(spark, path, **options)
+
+    monkeypatch.setattr(files.readers, "read_bundles", read_bundles)
+    before = written()
+    assert files.multi_line_bundles(spark, SF_DIR).count() == standins.given(spark, SF_DIR, "events").count()
+    # events take less than 100 KB, and their bundles more than 10 MB
+    assert moved[0] - before < 300_000
+    assert len(paths) >= 10 and all(".gz" in p for p in paths if "/part-" in p)
