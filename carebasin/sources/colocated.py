@@ -10,9 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carebasin.operators.packing import pack, text_runs, unpack
+
 #: Rows that a bucket of the largest table should hold.
 ROWS_PER_BUCKET = 5_000_000
 #: Buckets at most: their counts pass through the driver.
@@ -35,6 +37,7 @@ def bucket_rows(df: DataFrame, key: str, buckets: int) -> list[int]:
 def write_colocated(
     spark: SparkSession, tables: Mapping[str, DataFrame], key: str, database: str,
     rows_per_bucket: int = ROWS_PER_BUCKET, uneven: float = UNEVEN,
+    late: Mapping[str, Mapping[str, Column]] | None = None,
 ) -> dict[str, int]:
     """Write the tables to a database, bucketed by ``key`` into the same number of
     buckets; that number by table, 0 for those written without buckets.
@@ -42,7 +45,8 @@ def write_colocated(
     The number follows the largest table. Rows are gathered by bucket, and
     adaptive execution deals a large bucket to several tasks and files. Rows
     without a key are in one bucket. A table of up to ``rows_per_bucket`` rows in its
-    largest bucket is bucketed however it is spread. Tables that exist are replaced.
+    largest bucket is bucketed however it is spread. Columns of a table that are ``late`` follow from
+    others of their row: they are computed after the rows are gathered, which are shuffled with runs of texts packed. Tables that exist are replaced.
     """
     totals = {name: df.count() for name, df in tables.items()}
     largest = max(totals.values(), default=0)
@@ -51,12 +55,17 @@ def write_colocated(
     for name, df in tables.items():
         most = max(bucket_rows(df, key, buckets), default=0)
         fits = most <= max(rows_per_bucket, uneven * totals[name] / buckets)
+        after = dict((late or {}).get(name, {}))
+        runs = text_runs(df.drop(*after), {key})
+        packed = pack(df.drop(*after), runs)
         if fits:
-            helper = f"{max(df.columns, key=len)}_bucket"
-            gathered = df.withColumn(helper, bucket_of(key, buckets)).hint("rebalance", helper).drop(helper)
-            writer = gathered.write.bucketBy(buckets, key)
+            helper = f"{max(packed.columns, key=len)}_bucket"
+            packed = packed.withColumn(helper, bucket_of(key, buckets)).hint("rebalance", helper).drop(helper)
         else:
-            writer = df.hint("rebalance").write
-        writer.format("parquet").mode("overwrite").saveAsTable(f"`{database}`.`{name}`")
+            packed = packed.hint("rebalance")
+        writer = unpack(packed, runs).withColumns(after).select(df.columns).write
+        if fits:
+            writer = writer.bucketBy(buckets, key)
+        writer.format("parquet").option("compression", "zstd").mode("overwrite").saveAsTable(f"`{database}`.`{name}`")
         made[name] = buckets if fits else 0
     return made
