@@ -95,3 +95,25 @@ def test_surrogates_name_columns_of_the_tables():
     for name, (key, business) in schemas.SURROGATES.items():
         assert {key, business} <= set(schemas.WAREHOUSE[name].names)
         assert schemas.WAREHOUSE[name][business].dataType == T.StringType()
+
+
+def test_feeds_read_a_lake_that_is_written_once(spark, monkeypatch):
+    from checks import files, tables
+    from checks.compare import difference, engine
+
+    def second_copy(*_):
+        raise AssertionError("a table is written besides its folder of the lake")
+
+    found, inner = {}, files.feeds.run_feeds
+    monkeypatch.setattr(tables, "lake_table", second_copy)
+    monkeypatch.setattr(files.feeds, "run_feeds", lambda spark, feeds: (found.update({f.table: f for f in feeds}), inner(spark, found.values())))
+    sf_dir = "/root/testdata/sf0.001"
+    assert difference(spark, engine(sf_dir), sf_dir, "all_feeds") is None
+    assert len(found) == 14
+    for feed in found.values():
+        stored = files_of(feed.source) + files_of(feed.target)
+        assert stored and all(".zstd." in f for f in stored)
+
+
+def files_of(path):
+    return files(path.removeprefix("file:"))
